@@ -6,6 +6,9 @@ made by mapping values, not by leaving rows out.
 
 from pyspark.sql import DataFrame, SparkSession
 
+from docquarry.settings import shared_dir
+from docquarry.sources.quads import read_quads, write_quads
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -53,7 +56,7 @@ FIXTURES = {
     "noisy": """
 SELECT doc_id,
        chr(9) || replace(replace(replace(replace(replace(text, ',', chr(160) || ' .'), '. ', '.'),
-         'in ', 'in   '), 'ti', 'tﬁ'), 'on', 'o-' || chr(160) || chr(10) || 'n') || ' ' || chr(8195) AS text
+         'in ', 'in   '), 'ti', 'tﬁ'), 'on', 'o-' || chr(160) || chr(10) || 'n') || ' ' || chr(160) || chr(10) AS text
 FROM {documents}
 """,
     # Every part is an entry for its type, so keys conflict and the last entry has to win.
@@ -169,3 +172,16 @@ def with_fixtures(names: str, body: str) -> str:
     ctes = ",\n".join(f"{n} AS ({FIXTURES[n].format(**tables)})" for n in names.split())
     joint = "," if body.lstrip().startswith("WITH ") else ""
     return f"WITH {ctes}{joint}\n{body.lstrip().removeprefix('WITH ') if joint else body}"
+
+
+_LANDED: dict[tuple[str, str], str] = {}
+
+
+def landed_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quads fixture as the stored table that jobs read: written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        path = shared_dir(spark, "quads")
+        write_quads(fixture(spark, sf_dir, "quads"), path)
+        _LANDED[key] = path
+    return read_quads(spark, _LANDED[key])

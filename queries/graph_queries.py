@@ -10,7 +10,7 @@ from docquarry.operators import graph
 from docquarry.operators.shape import binding_lists, quarantine_rows, shape_documents, shape_rows, subject_terms
 from docquarry.operators.taxonomy import current_taxonomy, taxonomy_keys, unmatched_terms
 from queries import Query
-from queries.fixtures import fixture, with_fixtures
+from queries.fixtures import fixture, landed_quads, with_fixtures
 from queries.text_queries import STRIP_WS
 
 START, END = "1995-01-01", "2001-07-01"
@@ -18,7 +18,7 @@ TODAY, TOTAL_DAYS, STEP = datetime.date(2001, 8, 1), 2405, 7
 
 
 def _quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fixture(spark, sf_dir, "quads")
+    return landed_quads(spark, sf_dir)
 
 
 def assemble_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +193,8 @@ _BY_WINDOW_SQL = (
     "WITH "
     + _ASSEMBLY_SQL.lstrip().format(start="1995-01-02", end="2001-08-02")
     + f"""
-, days AS (SELECT DISTINCT s AS work, date_diff('day', CAST(o AS date), DATE '{TODAY}') AS back FROM quads WHERE p = 'work_date_document'),
+, days AS (SELECT DISTINCT s AS work, date_diff('day', CAST(CASE WHEN p = 'work_date_document' THEN o END AS date), DATE '{TODAY}') AS back
+  FROM quads WHERE p = 'work_date_document'),
 members AS (SELECT DISTINCT work, CAST(back // {STEP} AS int) AS window_no FROM days WHERE back >= 0 AND back < {TOTAL_DAYS})
 SELECT DISTINCT work, date, lang_id, window_no,
   CAST(DATE '{TODAY}' - CAST(least(window_no * {STEP} + {STEP}, {TOTAL_DAYS}) - 1 AS int) AS string) AS window_start,
