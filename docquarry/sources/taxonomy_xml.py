@@ -30,4 +30,5 @@ def write_taxonomy_entries(entries: DataFrame, path: str) -> None:
     """The inverse, from ``(value, documentation)``."""
     annotation = F.struct(F.col("documentation").alias("xs:documentation"))
     rows = entries.select(F.col("value").alias("_value"), annotation.alias("xs:annotation"))
-    rows.write.format("xml").option("rootTag", "xs:schema").option("rowTag", ROW_TAG).save(path)
+    writer = rows.write.format("xml").option("rootTag", "schema").option("rowTag", ROW_TAG)
+    writer.option("validateName", False).save(path)
