@@ -8,16 +8,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The Unicode White_Space characters, and the four separators (1C..1F) that a
-# Python strip removes besides them. Spelled out, so the same text means the same in any regex
-# dialect; Java's own \s is ASCII only.
-WHITE_SPACE = r"\t-\r\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-STRIP_SPACE = WHITE_SPACE + r"\x{1c}-\x{1f}"
+# Java's \s is ASCII only unless (?U) makes it the Unicode White_Space property. A Python strip
+# removes four separators besides (fixed values 1C..1F).
+WHITE_SPACE = r"\s"
+STRIP_SPACE = r"\s\x1c-\x1f"
 
 
 def _strip(col: Column, chars: str) -> Column:
-    # The look-behind and the possessive quantifier keep a long run of blanks linear.
-    return F.regexp_replace(col, rf"\A[{chars}]++|(?<![{chars}])[{chars}]++\z", "")
+    # A trailing run is tried from its first character only, and never given back, so a long run
+    # of blanks inside a text costs one pass.
+    return F.regexp_replace(col, rf"(?U)\A[{chars}]++|[{chars}](?<![{chars}][{chars}])[{chars}]*+\z", "")
 
 
 def trim_u(col: Column) -> Column:
@@ -27,15 +27,17 @@ def trim_u(col: Column) -> Column:
 
 def is_blank(col: Column) -> Column:
     """True for null and for text of whitespace only."""
-    return ~F.coalesce(col.rlike(rf"[^{STRIP_SPACE}]"), F.lit(False))
+    return ~F.coalesce(col.rlike(rf"(?U)[^{STRIP_SPACE}]"), F.lit(False))
 
 
 # The opt-in cleaning rules, in the order they apply. Line breaks survive the default (no rule).
+# The hyphen rule looks for the rare hyphen first; \G keeps a letter that ended one match from
+# starting the next.
 CLEAN_RULES = {
-    "space_before_period": lambda c: F.regexp_replace(c, rf"(?<![{WHITE_SPACE}])[{WHITE_SPACE}]++\.", "."),
+    "space_before_period": lambda c: F.regexp_replace(c, r"(?U)\s(?<!\s\s)\s*+\.", "."),
     "space_after_period": lambda c: F.regexp_replace(c, r"\.([A-Z])", r". $1"),
     "collapse_spaces": lambda c: F.regexp_replace(c, " {2,}", " "),
-    "join_hyphenated": lambda c: F.regexp_replace(c, rf"(?U)(\w)-[{WHITE_SPACE}]++(\w)", "$1$2"),
+    "join_hyphenated": lambda c: F.regexp_replace(c, r"(?U)-(?<=\w-)(?<!\G-)\s++(\w)", "$1"),
     "ligatures": lambda c: F.replace(F.replace(c, F.lit("ﬁ"), F.lit("fi")), F.lit("ﬂ"), F.lit("fl")),
     "strip": lambda c: _strip(c, WHITE_SPACE),
 }

@@ -8,6 +8,8 @@ frames are joined. That is exact, as properties of a work correlate through the
 the CELEX order of preference holds per (graph, work).
 """
 
+import datetime
+from collections.abc import Sequence
 from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame
@@ -104,8 +106,19 @@ def any_graph_labels(quads: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> D
     return labels(quads, vocabulary=vocabulary).select("node", "label").distinct()
 
 
-def _distinct_set(rows: DataFrame, *kinds: str) -> list[Column]:
-    return [F.sort_array(F.collect_set(F.when(F.col("kind") == k, F.col("value")))).alias(k) for k in kinds]
+def _sets(rows: DataFrame, keys: Sequence[str], kinds: Sequence[str]) -> DataFrame:
+    """Sorted distinct values of every kind, one row per key, from (keys, kind, value) rows.
+
+    One set per key and map task is built before the shuffle, so repeated values of a key that
+    holds very many rows never leave their task.
+    """
+    pairs = rows.groupBy(*keys).agg(F.collect_set(F.struct("kind", "value")).alias("pairs"))
+    pairs = pairs.withColumn("pairs", F.sort_array("pairs"))
+
+    def values(kind: str) -> Column:
+        return F.transform(F.filter("pairs", lambda pair: pair["kind"] == kind), lambda pair: pair["value"])
+
+    return pairs.select(*keys, *[values(kind).alias(kind) for kind in kinds])
 
 
 def _kind_of(names: dict[str, str]) -> Column:
@@ -161,7 +174,7 @@ def work_properties(quads: DataFrame, works: DataFrame, vocabulary: Vocabulary =
     about = of_works(v.subject).join(any_graph_labels(quads, v).withColumnRenamed("node", "o"), "o")
     rows = rows.unionByName(about.select("g", "work", F.lit("subjects").alias("kind"), F.col("label").alias("value")))
 
-    sets = rows.groupBy("g", "work").agg(*_distinct_set(rows, *_WORK_KINDS))
+    sets = _sets(rows, ("g", "work"), _WORK_KINDS)
     mandatory = [F.size(c) > 0 for c in ("type", "id", "dates", "subjects")]
     complete = sets.filter(mandatory[0] & mandatory[1] & mandatory[2] & mandatory[3])
     celex = preferred_celex(F.col("c1"), F.col("c2"), F.col("c3"))
@@ -200,7 +213,7 @@ def work_languages(
     rows = rows.unionByName(titles.select("g", "exp", F.lit("titles").alias("kind"), F.col("o").alias("value")))
     spoken = of_expressions(v.language).join(idents, "o")
     rows = rows.unionByName(spoken.select("g", "exp", F.lit("langs").alias("kind"), F.col("ident").alias("value")))
-    expressions = rows.groupBy("g", "exp").agg(*_distinct_set(rows, "works", "titles", "langs"))
+    expressions = _sets(rows, ("g", "exp"), ("works", "titles", "langs"))
     expressions = expressions.filter((F.size("works") > 0) & (F.size("titles") > 0) & (F.size("langs") > 0))
 
     manifests = pattern(quads, v.manifestation_expression).select("g", F.col("s").alias("man"), F.col("o").alias("exp"))
@@ -264,7 +277,7 @@ def assemble_metadata(
     )
 
 
-def works_by_window(quads: DataFrame, today, total_days: int, step: int, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
+def works_by_window(quads: DataFrame, today: datetime.date, total_days: int, step: int, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
     """Distinct (work, window_no): every lookback window a work has a date in."""
     dates = pattern(quads, vocabulary.date).select(F.col("s").alias("work"), F.col("o").alias("date"))
     return with_window(dates, today, total_days, step).select("work", "window_no").distinct()
@@ -272,7 +285,7 @@ def works_by_window(quads: DataFrame, today, total_days: int, step: int, vocabul
 
 def metadata_by_window(
     quads: DataFrame,
-    today,
+    today: datetime.date,
     total_days: int,
     step: int = 1,
     lang: str | None = None,

@@ -93,6 +93,16 @@ def read_payload_files(spark: SparkSession, root: str) -> DataFrame:
     return named.filter("format <> ''")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Spread a plain scan over the cores if it has fewer partitions than there are cores.
+
+    Spark does not split a row group, so a small file is one task however costly its rows are. A
+    scan that already has enough partitions is returned as it is, without a shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
+
+
 def read_documents(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
     """All parquet files below ``root``, at any depth.
 

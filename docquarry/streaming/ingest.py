@@ -21,24 +21,23 @@ DOCUMENT_KEY = ("url", "date", "lang")
 def merge_days(
     docs: DataFrame, corpus: Corpus, run_id: str, key: Sequence[str] = DOCUMENT_KEY, scope: str = ALL_LANGUAGES
 ) -> DataFrame:
-    """Merge ``docs`` (with ``day``) into the stored days they touch; a newer row replaces an older
-    one with the same key. Running it twice gives the same days.
+    """Merge ``docs`` (a stored table with ``day``) into the stored days they touch; a newer row
+    replaces an older one with the same key. Running it twice gives the same days.
 
     Only the affected days are read, and the merged rows are staged, as they replace what they
     were read from.
     """
     spark = docs.sparkSession
-    staging = shared_dir(spark, f"merge-{run_id}")
-    new = stored(docs, f"{staging}/new")
-    days = new.select("day").distinct()
-    old = read_days(spark, corpus, new.schema).filter(F.col("scope") == scope).drop("scope")
+    days = docs.select("day").distinct()
+    old = read_days(spark, corpus, docs.schema).filter(F.col("scope") == scope).drop("scope")
     old = old.join(days, "day", "left_semi")
-    both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    both = old.withColumn("_new", F.lit(0)).unionByName(docs.withColumn("_new", F.lit(1)))
     both = both.withColumn("_key", F.struct(*key))
     # Rows of one batch with one key differ at most in content; a digest settles which stays.
-    both = both.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in new.columns]))
+    both = both.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     merged = dedup_keep_last(both, "_key", ("_new", "_tie"), within=("day",)).drop("_key", "_new", "_tie")
-    return write_days(stored(merged, f"{staging}/merged"), planned_days(days), corpus, run_id, scope)
+    merged = stored(merged, shared_dir(spark, f"merge-{run_id}"))
+    return write_days(merged, planned_days(days), corpus, run_id, scope)
 
 
 def ingest_batch(
@@ -52,8 +51,8 @@ def ingest_batch(
 ) -> None:
     """Shape one batch; merge days inside the lookback, set older rows aside as late."""
     spark = bindings.sparkSession
-    rows = stored(binding_lists(bindings), shared_dir(spark, f"batch-{batch_id}"))
-    docs = shape_documents(rows, taxonomy).withColumn("day", F.col("date"))
+    shaped = shape_documents(binding_lists(bindings), taxonomy).withColumn("day", F.col("date"))
+    docs = stored(shaped, shared_dir(spark, f"batch-{batch_id}"))
     in_reach = window_no(as_date(F.col("day")), today, lookback_days, 1).isNotNull()
     merge_days(docs.filter(in_reach), corpus, f"{run_prefix}-{batch_id:012d}")
     # One folder per batch: a batch that is replayed overwrites its own rows.
