@@ -68,9 +68,11 @@ def window_metrics(discovered: DataFrame, saved: Column) -> DataFrame:
 
 
 def calendar(bounds: DataFrame, first: str = "first_day", last: str = "last_day") -> DataFrame:
-    """One row per day, both ends included, from a one-row frame of two dates."""
-    days = F.explode(F.sequence(F.col(first), F.col(last), F.expr("interval 1 day"))).alias("day")
-    return bounds.filter(F.col(first) <= F.col(last)).select(days).select(iso(F.col("day")).alias("date"))
+    """One row per day, both ends included, from a one-row frame of two dates; none if they are
+    in the wrong order or null."""
+    end = F.greatest(first, last)  # a sequence must not run backwards
+    days = bounds.select(last, F.explode(F.sequence(F.col(first), end, F.expr("interval 1 day"))).alias("day"))
+    return days.filter(F.col("day") <= F.col(last)).select(iso(F.col("day")).alias("date"))
 
 
 def calendar_between(spark: SparkSession, first: datetime.date, last: datetime.date) -> DataFrame:

@@ -77,14 +77,18 @@ def write_days(docs: DataFrame, planned: DataFrame, corpus: Corpus, run_id: str,
     """Overwrite the days in ``docs``, then record every planned day; returns this run's entries.
 
     A planned day without documents gets an ``empty`` entry, one with an error an ``errors`` entry
-    that leaves the stored day as it was. ``run_id`` must sort after the ids of earlier runs.
+    that leaves the stored day as it was. ``run_id`` must sort after the ids of earlier runs, and
+    ``docs`` must not hold days that are not planned.
     """
     spark = docs.sparkSession
     rows = docs.withColumns({"scope": F.lit(scope), RUN: F.lit(run_id), "year": F.substring("day", 1, 4)})
     _write_partitions(rows, corpus.files, ("year", "day", "scope"))
 
     written = spark.read.schema(f"{RUN} string, year string, day string, scope string").parquet(corpus.files)
-    counts = written.filter((F.col(RUN) == run_id) & (F.col("scope") == scope)).groupBy("day")
+    # The two ends of the plan keep the count from opening files of all other days.
+    first, last = planned.agg(F.min("day"), F.max("day")).first()
+    written = written.filter(F.col("day").between(first, last) & (F.col("scope") == scope))
+    counts = written.filter(F.col(RUN) == run_id).groupBy("day")
     entries = planned.join(counts.agg(F.count("*").alias("n")), "day", "left")
     status = (
         F.when(F.col("error").isNotNull(), "errors")

@@ -24,13 +24,14 @@ def merge_days(
     """Merge ``docs`` (a stored table with ``day``) into the stored days they touch; a newer row
     replaces an older one with the same key. Running it twice gives the same days.
 
-    Only the affected days are read, and the merged rows are staged, as they replace what they
-    were read from.
+    Only the partitions of the affected days are read (the days pass through the driver; there are
+    no more of them than the calendar has), and the merged rows are staged, as they replace what
+    they were read from.
     """
     spark = docs.sparkSession
     days = docs.select("day").distinct()
-    old = read_days(spark, corpus, docs.schema).filter(F.col("scope") == scope).drop("scope")
-    old = old.join(days, "day", "left_semi")
+    touched = F.col("day").isin([row.day for row in days.collect()])
+    old = read_days(spark, corpus, docs.schema).filter((F.col("scope") == scope) & touched).drop("scope")
     both = old.withColumn("_new", F.lit(0)).unionByName(docs.withColumn("_new", F.lit(1)))
     both = both.withColumn("_key", F.struct(*key))
     # Rows of one batch with one key differ at most in content; a digest settles which stays.
