@@ -181,16 +181,18 @@ def work_properties(quads: DataFrame, works: DataFrame, vocabulary: Vocabulary =
     return complete.withColumn("celex_ids", celex).drop("type", "id", "c1", "c2", "c3")
 
 
-def _merge_sets(*columns: str) -> list[Column]:
-    """Union of sorted sets over a group; equal sets collapse before they are shuffled."""
-    return [F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(c) for c in columns]
+def _merge_sets(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Union of sorted sets per key; rows with equal sets collapse where they are."""
+    grouped = df.groupBy(*keys).agg(F.collect_set(F.struct(*columns)).alias("sets"))
+    merged = [F.array_sort(F.array_distinct(F.flatten(f"sets.{c}"))).alias(c) for c in columns]
+    return grouped.select(*keys, *merged)
 
 
 def work_dates(quads: DataFrame, works: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
     """One row per (work, date), the sets of its graphs merged; hash-partitioned by work."""
     per_graph = work_properties(quads, works, vocabulary).drop("g")
     dated = per_graph.repartition("work").withColumn("date", F.explode("dates"))
-    return dated.groupBy("work", "date").agg(*_merge_sets(*_WORK_SETS))
+    return _merge_sets(dated, ("work", "date"), _WORK_SETS)
 
 
 def work_languages(
@@ -221,14 +223,9 @@ def work_languages(
     types = pattern(quads, v.manifestation_type).select("g", F.col("s").alias("man"), F.col("o").alias("mtype"))
     mtypes = manifests.join(types, ["g", "man"]).groupBy("exp").agg(F.sort_array(F.collect_set("mtype")).alias("mtypes"))
 
-    return (
-        expressions.join(mtypes, "exp")
-        .select(F.explode("works").alias("work"), "langs", "titles", "mtypes")
-        .repartition("work")
-        .select("work", F.explode("langs").alias("lang_id"), "titles", "mtypes")
-        .groupBy("work", "lang_id")
-        .agg(*_merge_sets("titles", "mtypes"))
-    )
+    by_work = expressions.join(mtypes, "exp").select(F.explode("works").alias("work"), "langs", "titles", "mtypes")
+    by_lang = by_work.repartition("work").select("work", F.explode("langs").alias("lang_id"), "titles", "mtypes")
+    return _merge_sets(by_lang, ("work", "lang_id"), ("titles", "mtypes"))
 
 
 def work_agents(quads: DataFrame, works: DataFrame, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:

@@ -10,22 +10,33 @@ from docquarry.sources.tables import read_or_empty, stored
 
 
 def publish_changes(
-    df: DataFrame, target: str, digest_path: str, run_id: str, partition_by: Sequence[str] = ("year", "day")
+    df: DataFrame,
+    target: str,
+    digest_path: str,
+    run_id: str,
+    partition_by: Sequence[str] = ("year", "day"),
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """Write new and changed partitions to ``target``, in the layout of the source.
 
-    Digests of the published state are kept under ``digest_path``, one table per run. Returns the
+    Digests of the published state are kept under ``digest_path``, one table per run; run ids must
+    sort in time order. ``touched`` names the partitions that were written since (the manifest
+    knows them): only these are read, and the digests of the others carried over. Returns the
     status of every partition; if nothing changed, nothing is written.
     """
     spark = df.sparkSession
-    current = stored(partition_digests(df, partition_by), f"{digest_path}/run={run_id}")
-    all_digests = read_or_empty(spark, digest_path, current.schema.add("run", "string"))
-    previous = all_digests.filter(F.col("run") != run_id)
-    latest = previous.agg(F.max("run").alias("run"))
-    previous = previous.join(latest, "run", "left_semi").drop("run")
-    status = stored(changed_partitions(current, previous, partition_by), f"{digest_path}-status/run={run_id}")
-    to_write = status.filter(F.col("status").isin("new", "changed")).select(*partition_by)
-    changed = df.join(to_write, list(partition_by), "left_semi").hint("rebalance", *partition_by)
+    keys = list(partition_by)
+    candidates = df if touched is None else df.join(touched.select(*keys), keys, "left_semi")
+    digests = partition_digests(candidates, keys)
+    schema = digests.schema.add("run", "string")
+    earlier = read_or_empty(spark, digest_path, schema).filter(F.col("run") < run_id)
+    previous = earlier.join(earlier.agg(F.max("run").alias("run")), "run", "left_semi").drop("run")
+    if touched is not None:
+        digests = digests.unionByName(previous.join(touched.select(*keys), keys, "left_anti"))
+    current = stored(digests, f"{digest_path}/run={run_id}")
+    status = stored(changed_partitions(current, previous, keys), f"{digest_path}-status/run={run_id}")
+    to_write = status.filter(F.col("status").isin("new", "changed")).select(*keys)
+    changed = candidates.join(to_write, keys, "left_semi").hint("rebalance", *keys)
     writer = changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(target)
+    writer.partitionBy(*keys).parquet(target)
     return status

@@ -102,52 +102,54 @@ FROM {part}
 
 _WORK = "'gw' || CAST(o_orderkey % 2 AS string), 'work:' || CAST(o_orderkey AS string)"
 _OTHER_WORK = "'gw' || CAST(1 - o_orderkey % 2 AS string), 'work:' || CAST(o_orderkey AS string)"
+_DAY_OF, _MONTH_OF = "extract(day FROM o_orderdate)", "extract(month FROM o_orderdate)"
 _DATE = "CAST(CAST(o_orderdate AS date) AS string)"
-_EXPRESSIONS = "{orders} CROSS JOIN (VALUES ('ENG', 1), ('FRA', 2), ('DEU', 3)) v(lg, m)"
+_EXPRESSIONS = "{orders} CROSS JOIN (VALUES ('ENG', 12), ('FRA', 6), ('DEU', 4)) v(lg, m)"
 _EXP = "'exp:' || CAST(o_orderkey AS string) || ':' || lg"
-_MANIFESTATIONS = _EXPRESSIONS + " CROSS JOIN (VALUES ('pdf', 2), ('xhtml', 3), ('docx', 5)) w(f, k)"
+_MANIFESTATIONS = _EXPRESSIONS + " CROSS JOIN (VALUES ('pdf', 15), ('xhtml', 20), ('docx', 9)) w(f, k)"
 _MAN = "'man:' || CAST(o_orderkey AS string) || ':' || lg || ':' || f"
-_HAS_MAN = "o_orderkey % m = 0 AND o_orderkey % k = 1"
+_HAS_MAN = f"{_MONTH_OF} <= m AND {_DAY_OF} <= k"
 
-# Works are orders, subjects part types, agents suppliers and customers. Which properties a work
-# has depends on its key: works in two graphs, with a second date, without subject or
-# manifestation, with labels in another language or graph only.
+# Works are orders, all of them; subjects are part types, agents suppliers and customers. Which
+# properties a work has depends on the order's date, status and priority: there are works in two
+# graphs, with a second date, without subject or manifestation, with labels in another language or
+# graph only.
 FIXTURES["quads"] = "\nUNION ALL ".join(
     [
         f"SELECT {_WORK.replace(', ', ' AS g, ', 1)} AS s, 'rdf:type' AS p, 'cdm:work' AS o, CAST(NULL AS string) AS o_lang FROM {{orders}}",
         f"SELECT {_WORK}, 'work_date_document', {_DATE}, NULL FROM {{orders}}",
-        f"SELECT {_WORK}, 'work_date_document', '2030-01-01', NULL FROM {{orders}} WHERE o_orderkey % 97 = 0",
+        f"SELECT {_WORK}, 'work_date_document', '2030-01-01', NULL FROM {{orders}} WHERE {_DAY_OF} = 14",
         f"SELECT {_WORK}, 'work_id_document', 'id:' || CAST(o_orderkey AS string), NULL FROM {{orders}}",
-        f"SELECT {_WORK}, 'resource_legal_id_celex', '3' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderkey % 3 = 0",
-        f"SELECT {_WORK}, 'resource_legal_celex_number', '5' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderkey % 2 = 0",
-        f"SELECT {_WORK}, 'work_id_celex', '6' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderkey % 5 = 0",
-        f"SELECT {_WORK}, 'resource_legal_eli', 'eli/' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderkey % 4 = 0",
+        f"SELECT {_WORK}, 'resource_legal_id_celex', '3' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE {_MONTH_OF} IN (1, 4, 7, 10)",
+        f"SELECT {_WORK}, 'resource_legal_celex_number', '5' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderstatus <> 'F'",
+        f"SELECT {_WORK}, 'work_id_celex', '6' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderpriority LIKE '1%'",
+        f"SELECT {_WORK}, 'resource_legal_eli', 'eli/' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderpriority LIKE '2%'",
         f"SELECT {_WORK}, 'procedure_id', 'proc/' || CAST(o_custkey AS string), NULL FROM {{orders}} WHERE o_orderstatus = 'P'",
         f"SELECT {_WORK}, 'work_has_resource-type', 'rt:' || o_orderpriority, NULL FROM {{orders}}",
         "SELECT DISTINCT 'gw' || CAST(o_orderkey % 2 AS string), 'rt:' || o_orderpriority, 'prefLabel', o_orderpriority, "
         "CASE WHEN o_orderpriority LIKE '5%' THEN 'de' ELSE 'en' END FROM {orders}",
-        f"SELECT {_WORK}, 'resource_legal_is_about_concept_directory_code', 'dc:' || o_orderstatus, NULL FROM {{orders}} WHERE o_orderkey % 3 <> 1",
+        f"SELECT {_WORK}, 'resource_legal_is_about_concept_directory_code', 'dc:' || o_orderstatus, NULL FROM {{orders}} WHERE {_MONTH_OF} > 4",
         "SELECT DISTINCT 'gw0', 'dc:' || o_orderstatus, 'prefLabel', 'dir ' || o_orderstatus, 'en' FROM {orders}",
         "SELECT DISTINCT 'gw' || CAST(l_orderkey % 2 AS string), 'work:' || CAST(l_orderkey AS string), "
         "'work_is_about_concept_eurovoc', 'sub:' || p_type, NULL FROM {lineitem} JOIN {part} ON l_partkey = p_partkey",
-        f"SELECT {_OTHER_WORK}, 'rdf:type', 'cdm:work', NULL FROM {{orders}} WHERE o_orderkey % 29 = 0",
-        f"SELECT {_OTHER_WORK}, 'work_date_document', {_DATE}, NULL FROM {{orders}} WHERE o_orderkey % 29 = 0",
-        f"SELECT {_OTHER_WORK}, 'work_id_document', 'id2:' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderkey % 29 = 0",
-        f"SELECT {_OTHER_WORK}, 'resource_legal_celex_number', 'X' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE o_orderkey % 29 = 0",
-        f"SELECT {_OTHER_WORK}, 'work_is_about_concept_eurovoc', 'sub:STANDARD', NULL FROM {{orders}} WHERE o_orderkey % 29 = 0",
+        f"SELECT {_OTHER_WORK}, 'rdf:type', 'cdm:work', NULL FROM {{orders}} WHERE {_DAY_OF} = 15",
+        f"SELECT {_OTHER_WORK}, 'work_date_document', {_DATE}, NULL FROM {{orders}} WHERE {_DAY_OF} = 15",
+        f"SELECT {_OTHER_WORK}, 'work_id_document', 'id2:' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE {_DAY_OF} = 15",
+        f"SELECT {_OTHER_WORK}, 'resource_legal_celex_number', 'X' || CAST(o_orderkey AS string), NULL FROM {{orders}} WHERE {_DAY_OF} = 15",
+        f"SELECT {_OTHER_WORK}, 'work_is_about_concept_eurovoc', 'sub:STANDARD', NULL FROM {{orders}} WHERE {_DAY_OF} = 15",
         "SELECT DISTINCT 'gs', 'sub:' || p_type, 'prefLabel', p_type, 'en' FROM {part}",
         "SELECT DISTINCT 'gs', 'sub:' || p_type, 'prefLabel', 'xx ' || p_type, 'fr' FROM {part}",
         "SELECT DISTINCT 'gagent', 'work:' || CAST(l_orderkey AS string), 'work_created_by_agent', "
-        "'agent:' || CAST(l_suppkey AS string), NULL FROM {lineitem} WHERE l_orderkey % 3 <> 0",
+        "'agent:' || CAST(l_suppkey AS string), NULL FROM {lineitem} WHERE l_returnflag <> 'N'",
         "SELECT 'gagent', 'work:' || CAST(o_orderkey AS string), 'work_authored_by_agent', "
-        "'cust:' || CAST(o_custkey AS string), NULL FROM {orders} WHERE o_orderkey % 6 = 1",
+        "'cust:' || CAST(o_custkey AS string), NULL FROM {orders} WHERE o_orderpriority LIKE '1%'",
         "SELECT 'gagent', 'work:' || CAST(o_orderkey AS string), 'work_contributed_to_by_agent', "
-        "'cust:' || CAST(o_custkey AS string), NULL FROM {orders} WHERE o_orderkey % 6 = 2",
+        "'cust:' || CAST(o_custkey AS string), NULL FROM {orders} WHERE o_orderpriority LIKE '3%'",
         "SELECT 'ga', 'agent:' || CAST(s_suppkey AS string), 'prefLabel', s_name, 'en' FROM {supplier}",
         "SELECT 'ga', 'cust:' || CAST(c_custkey AS string), 'prefLabel', c_name, 'en' FROM {customer}",
-        f"SELECT 'eg', {_EXP}, 'expression_belongs_to_work', 'work:' || CAST(o_orderkey AS string), NULL FROM {_EXPRESSIONS} WHERE o_orderkey % m = 0",
-        f"SELECT 'eg', {_EXP}, 'expression_title', 'title ' || CAST(o_orderkey AS string) || ' ' || lg, NULL FROM {_EXPRESSIONS} WHERE o_orderkey % m = 0",
-        f"SELECT 'eg', {_EXP}, 'expression_uses_language', 'lang:' || lg, NULL FROM {_EXPRESSIONS} WHERE o_orderkey % m = 0",
+        f"SELECT 'eg', {_EXP}, 'expression_belongs_to_work', 'work:' || CAST(o_orderkey AS string), NULL FROM {_EXPRESSIONS} WHERE {_MONTH_OF} <= m",
+        f"SELECT 'eg', {_EXP}, 'expression_title', 'title ' || CAST(o_orderkey AS string) || ' ' || lg, NULL FROM {_EXPRESSIONS} WHERE {_MONTH_OF} <= m",
+        f"SELECT 'eg', {_EXP}, 'expression_uses_language', 'lang:' || lg, NULL FROM {_EXPRESSIONS} WHERE {_MONTH_OF} <= m",
         "SELECT 'lgc', 'lang:' || lg, 'identifier', lg, NULL FROM (VALUES ('ENG'), ('FRA'), ('DEU')) v(lg)",
         f"SELECT 'gm', {_MAN}, 'manifestation_manifests_expression', {_EXP}, NULL FROM {_MANIFESTATIONS} WHERE {_HAS_MAN}",
         f"SELECT 'gm', {_MAN}, 'manifestation_type', f, NULL FROM {_MANIFESTATIONS} WHERE {_HAS_MAN}",

@@ -124,6 +124,19 @@ def test_publishing_unchanged_days_writes_nothing(spark, tmp_path):
     assert publish(changed.filter("day > '2024-01-01'"), "3") == {"2024-01-01": "gone", "2024-01-02": "changed"}
 
 
+def test_publishing_touched_days_leaves_the_others_as_they_were(spark, tmp_path):
+    docs = _docs(spark, *[(f"u{i}", "d", "eng", "x", f"2024-01-0{i}") for i in (1, 2, 3)]).withColumn("year", F.lit("2024"))
+    target, digests = str(tmp_path / "tree"), str(tmp_path / "digests")
+    publish_changes(docs, target, digests, "1")
+    newer = docs.withColumn("text", F.lit("y"))
+    touched = docs.filter("day <> '2024-01-01'").select("year", "day")
+    gone = newer.filter("day <> '2024-01-03'")
+    got = {r.day: r.status for r in publish_changes(gone, target, digests, "2", touched=touched).collect()}
+    assert got == {"2024-01-01": "unchanged", "2024-01-02": "changed", "2024-01-03": "gone"}
+    assert {(r.url, r.text) for r in spark.read.parquet(target).collect()} == {("u1", "x"), ("u2", "y"), ("u3", "x")}
+    assert {r.day: r.status for r in publish_changes(gone, target, digests, "3").collect()} == {"2024-01-01": "changed", "2024-01-02": "unchanged"}
+
+
 def _corpus_inputs(spark, tmp_path, n=12):
     """Works on days 1..6 of January (none on day 4), with one HTML payload each."""
     quads, payloads = [], []
