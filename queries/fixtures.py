@@ -156,6 +156,12 @@ FIXTURES["quads"] = "\nUNION ALL ".join(
     ]
 )
 
+FIXTURES["payloads"] = f"""
+SELECT 'work:' || CAST(o_orderkey AS string) AS url, f AS format, lower(lg) AS lang,
+       '<p>title ' || CAST(o_orderkey AS string) || '</p> <b>' || lg || '</b>' AS content
+FROM {_EXPRESSIONS} CROSS JOIN (VALUES ('pdf'), ('xhtml')) w(f) WHERE {_MONTH_OF} <= m
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -88,6 +88,21 @@ def test_assembly_equals_the_full_join(spark):
     assert total > 20
 
 
+def test_assembly_is_the_same_without_broadcasts(spark, plan_of):
+    """What a large window runs: every join shuffles, and none turns into a nested loop."""
+    rows = random_quads(5)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        quads = spark.createDataFrame(rows, QUAD_SCHEMA)
+        assembled = graph.as_bindings(graph.assemble_metadata(quads, "2024-01-01", "2024-01-03"))
+        plan = plan_of(assembled)
+        assert "Broadcast" not in plan and "Cartesian" not in plan
+        assert difference(spark_rows(assembled), expected(rows)) == ""
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_language_filter_equals_the_filtered_full_join(spark):
     rows = random_quads(7)
     quads = spark.createDataFrame(rows, QUAD_SCHEMA)
