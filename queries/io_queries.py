@@ -169,7 +169,7 @@ QUERIES = {
     ),
     "sql_over_files": Query(
         sql_on_files,
-        with_fixtures("docs", "SELECT lang, count(*) AS n_docs, sum(length(text)) AS n_chars, max(date) AS last_date FROM docs GROUP BY lang"),
+        with_fixtures("docs", "SELECT lang, count(*) AS n_docs, CAST(sum(length(text)) AS bigint) AS n_chars, max(date) AS last_date FROM docs GROUP BY lang"),
         "S4",
     ),
     "publish_changed_days": Query(
@@ -179,7 +179,7 @@ QUERIES = {
             """WITH a AS (SELECT date, count(*) AS n, sum(length(text)) AS c, string_agg(url || text, '§' ORDER BY ord) AS h FROM docs GROUP BY 1),
                b AS (SELECT date, count(*) AS n, sum(length(text)) AS c, string_agg(url || text, '§' ORDER BY ord) AS h FROM docs_before GROUP BY 1)
                SELECT date AS day, CASE WHEN b.h IS NULL THEN 'new' WHEN a.h IS NULL THEN 'gone' WHEN a.h = b.h THEN 'unchanged' ELSE 'changed' END AS status,
-                 coalesce(a.n, b.n) AS n_rows, coalesce(a.c, b.c) AS n_chars FROM a FULL JOIN b USING (date)""",
+                 coalesce(a.n, b.n) AS n_rows, CAST(coalesce(a.c, b.c) AS bigint) AS n_chars FROM a FULL JOIN b USING (date)""",
         ),
         "O4",
     ),
