@@ -206,15 +206,15 @@ def work_languages(
     if lang is not None:
         idents = idents.filter(F.col("ident") == lang)
 
-    def of_expressions(predicate: str) -> DataFrame:
-        found = pattern(quads, predicate).select("g", F.col("s").alias("exp"), "o")
-        return found.join(belongs.select("g", "exp"), ["g", "exp"], "left_semi")
+    # Titles and languages come from one scan; a language is replaced by its identifier.
+    found = pattern(quads, v.title, v.language).select("g", F.col("s").alias("exp"), "p", "o")
+    found = found.join(belongs.select("g", "exp"), ["g", "exp"], "left_semi")
+    spoken = F.col("p") == v.language
+    named = found.join(idents.withColumnRenamed("o", "node"), spoken & (F.col("o") == F.col("node")), "left")
+    named = named.withColumn("value", F.when(spoken, F.col("ident")).otherwise(F.col("o"))).filter("value IS NOT NULL")
 
     rows = belongs.select("g", "exp", F.lit("works").alias("kind"), F.col("work").alias("value"))
-    titles = of_expressions(v.title)
-    rows = rows.unionByName(titles.select("g", "exp", F.lit("titles").alias("kind"), F.col("o").alias("value")))
-    spoken = of_expressions(v.language).join(idents, "o")
-    rows = rows.unionByName(spoken.select("g", "exp", F.lit("langs").alias("kind"), F.col("ident").alias("value")))
+    rows = rows.unionByName(named.select("g", "exp", F.when(spoken, "langs").otherwise("titles").alias("kind"), "value"))
     expressions = _sets(rows, ("g", "exp"), ("works", "titles", "langs"))
     expressions = expressions.filter((F.size("works") > 0) & (F.size("titles") > 0) & (F.size("langs") > 0))
 
