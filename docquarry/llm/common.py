@@ -33,6 +33,11 @@ def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)
 
 
+def fold(doc_id: str, folds: int):
+    """Remainder of the crc32 of the id's text; null for a null id."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound Arrow batches by rows and bytes; 10,000 wide documents would be too much for a worker."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")

@@ -7,15 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docquarry.llm.common import documents
+from docquarry.llm.language_id import identify_language
 from docquarry.llm.ngram_join import ngram_join
+from docquarry.llm.toxicity import toxicity
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir, "doc_id", "text"), size=3, num=90, den=100)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(documents(spark, sf_dir, "doc_id", "text", "lang"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op4_language_id": op4_language_id,
+    "op9_toxicity": op9_toxicity,
 }
 
 _WORDS = r"""

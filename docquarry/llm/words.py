@@ -19,6 +19,10 @@ LOWER[65:91] += 32
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, *range(0x09, 0x0E)]] = True
 
+#: Letters, digits and every byte of a non-ASCII character.
+WORDLIKE = np.zeros(256, bool)
+WORDLIKE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _BYTES = np.random.default_rng(20240229).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -84,11 +88,14 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((sums[ends] - sums[starts]) * _power("down", len(raw) + 1)[starts])
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the lower-cased (A-Z) words of all rows, in order, and the row borders among them."""
+def words(column: pa.Array, of: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the lower-cased (A-Z) words of all rows, in order, and the row borders among them.
+
+    ``of`` marks the bytes of words; without it they are all but blanks.
+    """
     raw, borders = text_bytes(column)
     raw = LOWER[raw]
-    starts, ends = spans(~BLANK[raw], borders)
+    starts, ends = spans(~BLANK[raw] if of is None else of[raw], borders)
     return span_hashes(raw, starts, ends), np.searchsorted(starts, borders)
 
 
