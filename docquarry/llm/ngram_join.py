@@ -98,8 +98,11 @@ def whole_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     return found.join(ids, "doc_id", "left_semi")
 
 
-def _rare_first(prefixes: DataFrame, marks, num: int, den: int) -> DataFrame:
-    """(doc_id, n, singles, crowded): the first d + 1 rare tokens, or crowded if the prefix has fewer."""
+def _rare_first(prefixes: DataFrame, marks, shared, num: int, den: int) -> DataFrame:
+    """(doc_id, n, singles, crowded): the first d + 1 rare tokens, or crowded if the prefix has fewer.
+
+    With ``shared``, a bitmap, only those of them that are marked there are returned.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("singles", pa.list_(pa.int64())), ("crowded", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +118,8 @@ def _rare_first(prefixes: DataFrame, marks, num: int, den: int) -> DataFrame:
                 crowded = len(rare) < min(first, n)
                 rows["doc_id"].append(batch.column("doc_id")[i].as_py())
                 rows["n"].append(n)
-                rows["singles"].append(None if crowded else rare[:first])
+                singles = rare[:first] if shared is not None and not crowded else rare[:0]
+                rows["singles"].append(singles[in_bitmap(shared.value, singles)] if len(singles) else singles)
                 rows["crowded"].append(crowded)
             yield _columns(rows, schema)
 
@@ -221,22 +225,26 @@ def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
     firsts = nodes.join(classes.select(F.col("class_id").alias("doc_id"), "n", "sig_a", "sig_b"), ["doc_id", "n", "sig_a", "sig_b"], "left_semi")
     firsts = scratch.keep(firsts.dropDuplicates(["doc_id", "n", "sig_a", "sig_b"]).select("doc_id", "n", "sketch", "prefix"))
 
-    def frequent(tokens: DataFrame) -> np.ndarray:
-        return bitmap(tokens.groupBy("token").count().where(F.col("count") >= FREQUENT), "token")
+    def counted(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """Bitmaps of the tokens that stand there more than once, and of the frequent ones."""
+        counts = scratch.keep(tokens.groupBy("token").count().where("count > 1"))
+        return bitmap(counts, "token"), bitmap(counts.where(F.col("count") >= FREQUENT), "token")
 
-    marks = frequent(firsts.select(F.explode("prefix").alias("token")))
-    shared = spark.sparkContext.broadcast(marks)
-    crowded = scratch.keep(_rare_first(firsts, shared, num, den).where("crowded").select("doc_id").distinct())
+    send = spark.sparkContext.broadcast
+    shared, marks = counted(firsts.select(F.explode("prefix").alias("token")))
+    crowded = scratch.keep(_rare_first(firsts, send(marks), None, num, den).where("crowded").select("doc_id").distinct())
     crowded_sets = scratch.keep(whole_sets(docs, crowded, size))
-    marks = marks | frequent(_exploded(crowded_sets))
-    shared = spark.sparkContext.broadcast(marks)
-    placed = scratch.keep(_rare_first(firsts, shared, num, den))
-    more = scratch.keep(placed.where("crowded").select("doc_id").distinct().join(crowded, "doc_id", "left_anti"))
-    crowded_sets = crowded_sets.unionByName(whole_sets(docs, more, size))
-    keys = scratch.keep(_crowded_keys(crowded_sets, shared, num, den))
-
-    singles = placed.where("NOT crowded").select(F.explode("singles").alias("token"), "doc_id", "n")
-    singles = singles.unionByName(keys.where("NOT frequent").select(F.col("key").alias("token"), "doc_id", "n"))
+    marks = marks | counted(_exploded(crowded_sets))[1]
+    now_crowded = _rare_first(firsts, send(marks), None, num, den).where("crowded").select("doc_id").distinct()
+    more = scratch.keep(now_crowded.join(crowded, "doc_id", "left_anti"))
+    crowded_sets = scratch.keep(crowded_sets.unionByName(whole_sets(docs, more, size)))
+    keys = scratch.keep(_crowded_keys(crowded_sets, send(marks), num, den))
+
+    # A token that no other prefix has, and no crowded document, finds no partner.
+    of_crowded = keys.where("NOT frequent").select(F.col("key").alias("token"), "doc_id", "n")
+    shared = shared | bitmap(of_crowded, "token")
+    placed = _rare_first(firsts, send(marks), send(shared), num, den).where("NOT crowded")
+    singles = scratch.keep(placed.select(F.explode("singles").alias("token"), "doc_id", "n").unionByName(of_crowded))
     a = singles.select("token", F.col("doc_id").alias("a"), F.col("n").alias("a_n"))
     b = singles.select("token", F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
     met = a.join(b, "token").where((F.col("a") < F.col("b")) & _sizes(F.col("a_n"), F.col("b_n"), num, den)).select("a", "b").distinct()
