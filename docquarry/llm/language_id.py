@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import bounded_batches, fold
+from docquarry.llm.common import Scratch, bounded_batches, fold
 from docquarry.llm.words import LOWER, text_bytes, text_slices
 
 BUCKET_BITS = 15
@@ -77,6 +77,8 @@ def _sample(docs: DataFrame, params: LanguageParams) -> list:
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = docs.where(learn).select("doc_id", "lang").distinct()
     chosen = chosen.withColumn("at", F.row_number().over(first)).where(F.col("at") <= params.most_per_language).drop("at")
+    # Written, its size is known: a few rows are broadcast, and the texts stay where they are.
+    chosen = Scratch(docs.sparkSession, "language-id").keep(chosen)
     schema = pa.schema([("lang", pa.string()), ("at", pa.int64()), ("buckets", pa.list_(pa.int32())), ("counts", pa.list_(pa.int32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,8 +13,8 @@ puts tokens of the rare class first and tokens of the frequent class last, by ha
 
 The frequent class is a bitmap of fixed size of tokens that stand in many prefixes. It steers the
 cost only: the result is the same for any class, so its false positives do no harm. Candidates that
-share a key are held against an exact lower bound of their difference, the Hamming distance of
-parity sketches, then verified on their whole sets.
+share a key are held against a lower bound of their difference, the Hamming distance of parity
+sketches, then verified on their whole sets.
 
 Equal sets are one node. In a bucket of frequent tokens every node first meets one pivot, and only
 nodes that the links found so far leave in different components meet each other. So a group of
@@ -35,6 +35,7 @@ from docquarry.llm.words import mix, shingle_sets, text_slices
 
 FREQUENT = 16
 COMBINED = 400
+TOGETHER = 64
 SKETCH_WORDS = 8
 
 
@@ -46,16 +47,52 @@ def _columns(rows: dict[str, list], schema: pa.Schema) -> pa.RecordBatch:
     return pa.record_batch([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
 
 
-def _sketch(tokens: np.ndarray) -> np.ndarray:
-    """The parity of the tokens in each of 512 cells: sets that differ in s tokens differ in s cells at most."""
-    cells = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (SKETCH_WORDS * 64 - 1), minlength=SKETCH_WORDS * 64) & 1
-    return np.packbits(cells.astype(np.uint8)).view(np.int64)
+def _cells(tokens: np.ndarray) -> np.ndarray:
+    """The parity of the tokens in each cell of a set: sets that differ in s tokens differ in s cells at most.
+
+    There are four times as many cells as tokens or more, a power of two.
+    """
+    size = max(SKETCH_WORDS * 64, 1 << (4 * len(tokens)).bit_length())
+    cells = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (size - 1), minlength=size) & 1
+    return np.packbits(cells.astype(np.uint8))
+
+
+def _folded(cells: np.ndarray, n_bytes: int) -> np.ndarray:
+    """The same parities for fewer cells."""
+    while len(cells) > n_bytes:
+        half = len(cells) // 2
+        cells = cells[:half] ^ cells[half:]
+    return cells
+
+
+def _sketch(cells: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(_folded(cells, SKETCH_WORDS * 8)).view(np.int64)
+
+
+def _not_far(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that the full sketches do not prove to differ too much."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, total in zip(batch.column("x"), batch.column("y"), batch.column("total").to_pylist()):
+                left, right = np.frombuffer(x.as_buffer(), np.uint8), np.frombuffer(y.as_buffer(), np.uint8)
+                size = min(len(left), len(right))
+                differ = int(np.bitwise_count(_folded(left, size) ^ _folded(right, size)).sum())
+                keep.append(differ * (num + den) <= total * (den - num))
+            yield pa.record_batch([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
+
+    left = sketches.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("cells").alias("x"))
+    right = sketches.select(F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("cells").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", (F.col("a_n") + F.col("b_n")).alias("total"))
+    return both.mapInArrow(run, "a long, b long").distinct()
 
 
 def shingle_prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
-    """Per document: set size, a 128-bit signature of the set, its sketch, and the first tokens by hash."""
+    """Per document: set size, a 128-bit signature of the set, its parity cells, and the first tokens by hash."""
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("sketch", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64()))]
+        [("doc_id", pa.int64()), ("n", pa.int64()), ("sig_a", pa.int64()), ("sig_b", pa.int64()), ("cells", pa.binary()), ("prefix", pa.list_(pa.int64()))]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,13 +107,13 @@ def shingle_prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFram
                         signature = mix(tokens ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64), mix(tokens + np.uint64(n)).sum(dtype=np.uint64)
                     for name, value in zip(
                         schema.names,
-                        (doc_id, n, *(int(s.astype(np.int64)) for s in signature), _sketch(tokens), tokens[: first + first // 2 + 8].view(np.int64)),
+                        (doc_id, n, *(int(s.astype(np.int64)) for s in signature), _cells(tokens).tobytes(), tokens[: first + first // 2 + 8].view(np.int64)),
                     ):
                         rows[name].append(value)
                 yield _columns(rows, schema)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n long, sig_a long, sig_b long, sketch array<long>, prefix array<long>"
+        run, "doc_id long, n long, sig_a long, sig_b long, cells binary, prefix array<long>"
     )
 
 
@@ -154,7 +191,7 @@ def _crowded_keys(sets: DataFrame, marks, num: int, den: int) -> DataFrame:
                 keys = np.concatenate([rare, hot])
                 if not len(keys):
                     continue
-                sketch = pa.array([_sketch(tokens)], pa.list_(pa.int64()))
+                sketch = pa.array([_sketch(_cells(tokens))], pa.list_(pa.int64()))
                 yield pa.record_batch(
                     [
                         pa.array(keys.view(np.int64)),
@@ -181,23 +218,48 @@ def _sizes(a_n: Column, b_n: Column, num: int, den: int) -> Column:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """The pairs (a, b) whose whole sets reach the threshold: den * |intersection| >= num * |union|."""
+    """The pairs (a, b) whose whole sets reach the threshold: den * |intersection| >= num * |union|.
+
+    Pairs that hang together in a group of at most ``TOGETHER`` documents are verified together, so
+    a set is moved once for the group. Pairs of larger groups are verified one by one.
+    """
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-    ids = scratch.keep(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    sets = scratch.keep(whole_sets(docs, ids, size))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def reaches(x: np.ndarray, y: np.ndarray) -> bool:
+        common = len(np.intersect1d(x, y, assume_unique=True))
+        return den * common >= num * (len(x) + len(y) - common)
+
+    def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                left, right = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                common = len(np.intersect1d(left, right, assume_unique=True))
-                keep.append(den * common >= num * (len(left) + len(right) - common))
+            found: list[tuple[int, int]] = []
+            for members, of_group in zip(batch.column("members"), batch.column("pairs").to_pylist()):
+                sets: dict[int, list[np.ndarray]] = {}
+                for member in members:
+                    sets.setdefault(member["doc_id"].as_py(), []).append(np.frombuffer(member["tokens"].as_buffer(), np.uint64))
+                found += [(p["a"], p["b"]) for p in of_group if any(reaches(x, y) for x in sets[p["a"]] for y in sets[p["b"]])]
+            yield pa.record_batch([pa.array([p[0] for p in found], pa.int64()), pa.array([p[1] for p in found], pa.int64())], schema=schema)
+
+    def singly(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = ((np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)) for x, y in zip(batch.column("x"), batch.column("y")))
+            keep = [reaches(x, y) for x, y in sets]
             yield pa.record_batch([batch.column("a"), batch.column("b")], schema=schema).filter(pa.array(keep, pa.bool_()))
 
+    roots = components(pairs, scratch)
+    sizes = roots.groupBy("root").agg(F.count("*").alias("together"))
+    roots = scratch.keep(roots.join(sizes, "root").select(F.col("node").alias("doc_id"), "root", "together"))
+    small, large = roots.where(F.col("together") <= TOGETHER), roots.where(F.col("together") > TOGETHER)
+
+    members = whole_sets(docs, small.select("doc_id"), size).join(small.select("doc_id", "root"), "doc_id")
+    members = members.groupBy("root").agg(F.collect_list(F.struct("doc_id", "tokens")).alias("members"))
+    of_group = pairs.join(small.select(F.col("doc_id").alias("a"), "root"), "a").groupBy("root").agg(F.collect_list(F.struct("a", "b")).alias("pairs"))
+    found = members.join(of_group, "root").select("members", "pairs").mapInArrow(groups, "a long, b long")
+
+    sets = scratch.keep(whole_sets(docs, large.select("doc_id"), size))
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    return scratch.keep(pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct())
+    found = found.unionByName(pairs.select("a", "b").join(left, "a").join(right, "b").mapInArrow(singly, "a long, b long"))
+    return scratch.keep(found.distinct())
 
 
 def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
@@ -223,7 +285,7 @@ def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
     nodes = rows.where("n > 0 AND doc_id IS NOT NULL")
     classes = scratch.keep(nodes.groupBy("n", "sig_a", "sig_b").agg(F.min("doc_id").alias("class_id")))
     firsts = nodes.join(classes.select(F.col("class_id").alias("doc_id"), "n", "sig_a", "sig_b"), ["doc_id", "n", "sig_a", "sig_b"], "left_semi")
-    firsts = scratch.keep(firsts.dropDuplicates(["doc_id", "n", "sig_a", "sig_b"]).select("doc_id", "n", "sketch", "prefix"))
+    firsts = scratch.keep(firsts.dropDuplicates(["doc_id", "n", "sig_a", "sig_b"]).select("doc_id", "n", "cells", "prefix"))
 
     def counted(tokens: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         """Bitmaps of the tokens that stand there more than once, and of the frequent ones."""
@@ -248,18 +310,13 @@ def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
     a = singles.select("token", F.col("doc_id").alias("a"), F.col("n").alias("a_n"))
     b = singles.select("token", F.col("doc_id").alias("b"), F.col("n").alias("b_n"))
     met = a.join(b, "token").where((F.col("a") < F.col("b")) & _sizes(F.col("a_n"), F.col("b_n"), num, den)).select("a", "b").distinct()
-    of_a = firsts.select(F.col("doc_id").alias("a"), F.col("n").alias("a_n"), F.col("sketch").alias("a_sketch"))
-    of_b = firsts.select(F.col("doc_id").alias("b"), F.col("n").alias("b_n"), F.col("sketch").alias("b_sketch"))
-    near = _near(F.col("a_n"), F.col("b_n"), F.col("a_sketch"), F.col("b_sketch"), num, den)
-    met = met.join(of_a, "a").join(of_b, "b").where(near).select("a", "b").distinct()
-
     buckets = keys.where("frequent").select("key", "doc_id", "n", "rare", "sketch")
     pivots = buckets.groupBy("key").agg(F.min(F.struct("rare", "doc_id", "n", "sketch")).alias("pivot"), F.count("*").alias("members")).where("members > 1")
     to_pivot = buckets.join(pivots, "key").where(
         (F.col("doc_id") != F.col("pivot.doc_id")) & _near(F.col("n"), F.col("pivot.n"), F.col("sketch"), F.col("pivot.sketch"), num, den)
     )
     to_pivot = to_pivot.select(F.least("doc_id", "pivot.doc_id").alias("a"), F.greatest("doc_id", "pivot.doc_id").alias("b")).distinct()
-    tried = scratch.keep(met.unionByName(to_pivot).distinct())
+    tried = scratch.keep(_not_far(met.unionByName(to_pivot).distinct(), firsts, num, den))
     links = verified(tried, docs, size, num, den, scratch)
     roots = components(links, scratch)
 
@@ -274,8 +331,9 @@ def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
     a = placed_keys.select("key", *(F.col(c).alias(f"a_{c}") for c in ("doc_id", "n", "sketch", "root")))
     b = placed_keys.select("key", *(F.col(c).alias(f"b_{c}") for c in ("doc_id", "n", "sketch", "root")))
     apart = (F.col("a_doc_id") < F.col("b_doc_id")) & (F.col("a_root") != F.col("b_root"))
+    near = _near(F.col("a_n"), F.col("b_n"), F.col("a_sketch"), F.col("b_sketch"), num, den)
     across = a.join(b, (a["key"] == b["key"]) & apart & near).select(F.col("a_doc_id").alias("a"), F.col("b_doc_id").alias("b")).distinct()
-    across = scratch.keep(across.join(tried, ["a", "b"], "left_anti"))
+    across = scratch.keep(_not_far(across.join(tried, ["a", "b"], "left_anti"), firsts, num, den))
     links = links.unionByName(verified(across, docs, size, num, den, scratch))
     roots = components(links, scratch)
 
