@@ -4,29 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docquarry.llm.common import documents
 from docquarry.llm.language_id import identify_language
 from docquarry.llm.ngram_join import ngram_join
+from docquarry.llm.packing import pack
+from docquarry.llm.token_files import read_token_files, write_token_files
 from docquarry.llm.toxicity import toxicity
+from docquarry.settings import shared_dir
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir, "doc_id", "text"), size=3, num=90, den=100)
 
 
+def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=1024)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(documents(spark, sf_dir, "doc_id", "text", "lang"))
 
 
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "token-files")
+    write_token_files(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, folder=folder)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op3_harmonic_packing": op3_harmonic_packing,
     "op4_language_id": op4_language_id,
+    "op7_token_files": op7_token_files,
     "op9_toxicity": op9_toxicity,
 }
 
