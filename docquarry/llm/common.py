@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import itertools
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +73,31 @@ def in_bitmap(marks: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (marks[low >> np.uint64(3)] >> (np.uint64(7) - (low & np.uint64(7))).astype(np.uint8)) & 1 == 1
 
 
+def summed(df: DataFrame, column: str, n_values: int, of_batch, block: int = 1 << 14) -> np.ndarray:
+    """The sum over all rows of a vector of fixed size: added up in each worker, then block by block."""
+    schema = pa.schema([("at", pa.int64()), ("part", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, seen = np.zeros(n_values), False
+        for batch in batches:
+            if len(batch):
+                total += of_batch(batch.column(column))
+                seen = True
+        starts = list(range(0, n_values, block)) if seen else []
+        yield pa.record_batch([pa.array(starts, pa.int64()), pa.array([total[a : a + block].tobytes() for a in starts], pa.binary())], schema=schema)
+
+    def add(table: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(x.as_buffer(), np.float64) for x in table.column("part"))
+        return pa.table([table.column("at").slice(0, 1), pa.chunked_array([[total.tobytes()]], pa.binary())], schema=schema)
+
+    parts = df.select(column).mapInArrow(run, "at long, part binary").groupBy("at").applyInArrow(add, "at long, part binary")
+    out = np.zeros(n_values)
+    for row in parts.collect():
+        values = np.frombuffer(row.part, np.float64)
+        out[row.at : row.at + len(values)] = values
+    return out
+
+
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) of every node of ``edges`` (a, b): root is the least node it is connected with.
 

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import documents
+from docquarry.llm.decontaminate import contamination
+from docquarry.llm.hidden_markov import markov_scores
 from docquarry.llm.language_id import identify_language
 from docquarry.llm.ngram_join import ngram_join
 from docquarry.llm.packing import pack
@@ -37,16 +39,26 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op8_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return markov_scores(documents(spark, sf_dir, "doc_id", "text"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op4_language_id": op4_language_id,
     "op7_token_files": op7_token_files,
+    "op8_hidden_markov": op8_hidden_markov,
     "op9_toxicity": op9_toxicity,
+    "op10_decontamination": op10_decontamination,
 }
 
 _WORDS = r"""
