@@ -4,7 +4,7 @@ Words are hashed to a fixed number of terms. Passages of all documents, weighted
 the term space: one pass multiplies their Gram matrix by a random matrix (each worker adds up its
 part), and the Nystroem form of that product gives its leading eigenvectors. Every window of every
 document is projected onto them and compared by cosine with the benchmark items of like length.
-Candidates are then checked on their words: the longest common subsequence with the item must cover
+Candidates whose words in common weigh enough are then checked on their words: the longest common subsequence with the item must cover
 most of it, or, for a paraphrase, half of it and hold the item's answer.
 """
 
@@ -35,7 +35,7 @@ class ContaminationParams:
     """
 
     rank: int = 48
-    cosine: float = 0.55
+    cosine: float = 0.65
     copied: float = 0.75
     paraphrased: float = 0.5
     rarest: int = 3
@@ -136,6 +136,10 @@ class _Items:
     ids: list[int]
     words: list[list[int]]
     answers: list[list[int]]
+    #: Number of words and their idf, and which terms an item has.
+    sizes: np.ndarray
+    weights: np.ndarray
+    has: np.ndarray
     #: Per scale: the item of each query vector, and the vectors.
     queries: dict[int, tuple[np.ndarray, np.ndarray]]
 
@@ -162,25 +166,52 @@ def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: Contamin
         ids.append(row.item_id)
         words.append(item.tolist())
         answers.append(answer.tolist())
-    return _Items(ids, words, answers, {s: (np.array([i for i, _ in v]), np.array([x for _, x in v], np.float32)) for s, v in vectors.items()})
-
-
-def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, weighted: np.ndarray, params: ContaminationParams) -> Iterator[tuple]:
+    has = np.zeros((len(ids), len(idf)), bool)
+    weights = np.zeros(len(ids))
+    for i, item in enumerate(words):
+        terms = _terms(np.array(item, np.uint64))
+        has[i, terms] = True
+        weights[i] = idf[terms].sum()
+    return _Items(ids, words, answers, np.array([len(w) for w in words]), weights, has, {s: (np.array([i for i, _ in v]), np.array([x for _, x in v], np.float32)) for s, v in vectors.items()})
+
+
+def _overlaps(terms: np.ndarray, idf: np.ndarray, items: _Items, starts: np.ndarray, ends: np.ndarray, of: np.ndarray, scale: int, params: ContaminationParams) -> np.ndarray:
+    """Whether a window's words that the item has weigh enough for a paraphrase of what it can hold of the item."""
+    at = starts[:, None] + np.arange(scale)
+    inside = at < ends[:, None]
+    here = terms[np.minimum(at, len(terms) - 1)]
+    weight = (items.has[of[:, None], here] * inside * idf[here]).sum(1)
+    share = np.minimum(1, scale / items.sizes[of])
+    return weight >= 0.8 * params.paraphrased * share * items.weights[of]
+
+
+def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.ndarray, weighted: np.ndarray, params: ContaminationParams) -> Iterator[tuple]:
     """(row, item, start, end, cosine, share, answered) of the texts' windows that match an item."""
-    vectors = weighted[_terms(hashes)]
+    terms = _terms(hashes)
+    # Texts are padded to whole numbers of the largest step, so sums over steps never mix two texts.
+    largest = SCALES[-1] // 4
+    sizes = np.diff(borders)
+    padded = np.concatenate([[0], np.cumsum(-(-sizes // largest) * largest)])
+    if not padded[-1]:
+        return
+    source = np.full(padded[-1], len(terms))
+    source[np.arange(len(terms)) + np.repeat(padded[:-1] - borders[:-1], sizes)] = np.arange(len(terms))
+    sums = np.vstack([weighted, np.zeros(weighted.shape[1], np.float32)])[np.append(terms, len(weighted))[source]]
+    of_step, step = {}, 1
+    while step < largest:
+        sums, step = sums[0::2] + sums[1::2], 2 * step
+        of_step[step] = sums
     checked: dict[tuple[int, int], list[tuple]] = {}
     for scale, (owner, queries) in items.queries.items():
         step = scale // 4
-        # Sums over steps, that no text shares, then over the four steps of a window.
-        sizes = np.diff(borders)
+        sums = of_step[step]
+        # Steps that hold a word, by text and number within it.
         per = -(-sizes // step)
         first = np.concatenate([[0], np.cumsum(per)])
-        if not first[-1]:
-            continue
         nth = np.arange(first[-1]) - np.repeat(first[:-1], per)
+        sums = sums[np.repeat(padded[:-1] // step, per) + nth]
         starts = np.repeat(borders[:-1], per) + nth * step
         ends = np.repeat(borders[1:], per)
-        sums = np.add.reduceat(vectors, starts, axis=0)
         window = sums.copy()
         left = np.repeat(first[1:], per) - np.arange(first[-1])
         for j in range(1, 4):
@@ -191,8 +222,12 @@ def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, weighted: n
         window = window[use] / np.maximum(1e-9, np.linalg.norm(window[use], axis=1, keepdims=True))
         for lo in range(0, len(use), 8192):
             near = window[lo : lo + 8192] @ queries.T
-            for at, q in zip(*np.nonzero(near >= params.cosine)):
-                k = use[lo + at]
+            at, q = np.nonzero(near >= params.cosine)
+            k, of = use[lo + at], owner[q]
+            fits = np.zeros(len(k), bool)
+            for a in range(0, len(k), 16384):
+                fits[a : a + 16384] = _overlaps(terms, idf, items, starts[k[a : a + 16384]], ends[k[a : a + 16384]], of[a : a + 16384], scale, params)
+            for at, q, k in zip(at[fits], q[fits], k[fits]):
                 row = int(np.searchsorted(borders, starts[k], side="right")) - 1
                 item = int(owner[q])
                 n = len(items.words[item])
@@ -238,16 +273,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: ContaminationPa
     )
 
     def of_block(rows: list) -> DataFrame:
-        sent = spark.sparkContext.broadcast((_items(rows, idf, projection, params), weighted))
+        sent = spark.sparkContext.broadcast((_items(rows, idf, projection, params), idf, weighted))
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            block, vectors = sent.value
+            block, rarity, vectors = sent.value
             for batch in batches:
                 for lo, hi in text_slices(batch.column("text"), 1 << 20):
                     part = batch.slice(lo, hi - lo)
                     hashes, borders = _word_hashes(part.column("text"))
                     ids = part.column("doc_id").to_pylist()
-                    found = [(ids[m[0]], *m[1:]) for m in _matches(hashes, borders, block, vectors, params)]
+                    found = [(ids[m[0]], *m[1:]) for m in _matches(hashes, borders, block, rarity, vectors, params)]
                     columns = list(zip(*found)) or [[] for _ in schema]
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
