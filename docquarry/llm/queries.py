@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import documents
@@ -14,6 +14,7 @@ from docquarry.llm.hidden_markov import markov_scores
 from docquarry.llm.language_id import identify_language
 from docquarry.llm.ngram_join import ngram_join
 from docquarry.llm.packing import pack
+from docquarry.llm.secret_scan import KINDS, scan_secrets
 from docquarry.llm.token_files import read_token_files, write_token_files
 from docquarry.llm.toxicity import toxicity
 from docquarry.settings import shared_dir
@@ -23,6 +24,16 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(documents(spark, sf_dir, "doc_id", "text"), size=3, num=90, den=100)
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(documents(spark, sf_dir, "doc_id", "text"))
+    counts = [_of_kind(no).alias(f"n_{kind}") for no, kind in enumerate(KINDS[:3])]
+    return found.select("doc_id", *counts, F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+
+
+def _of_kind(no: int) -> Column:
+    return F.size(F.filter("base", lambda s: s["no"] == no)).cast("long")
+
+
 def op3_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     pieces = pack(docs, public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=1024)
@@ -53,6 +64,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_secret_scan": op2_secret_scan,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op4_language_id": op4_language_id,
     "op7_token_files": op7_token_files,
