@@ -12,9 +12,11 @@ from docquarry.llm.common import documents
 from docquarry.llm.decontaminate import contamination
 from docquarry.llm.hidden_markov import markov_scores
 from docquarry.llm.language_id import identify_language
+from docquarry.llm.license_scan import scan_licenses
 from docquarry.llm.ngram_join import ngram_join
 from docquarry.llm.packing import pack
 from docquarry.llm.secret_scan import KINDS, scan_secrets
+from docquarry.llm.spot_signatures import fingerprint, likeness, spot_fingerprints
 from docquarry.llm.token_files import read_token_files, write_token_files
 from docquarry.llm.toxicity import toxicity
 from docquarry.settings import shared_dir
@@ -44,6 +46,23 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(documents(spark, sf_dir, "doc_id", "text", "lang"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(documents(spark, sf_dir, "doc_id", "text"))
+
+
+def op6_spot_signatures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spot_fingerprints(documents(spark, sf_dir, "doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprint(F.col("spots")).alias("fingerprint"),
+        fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
+        likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
+        likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
+    )
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_dir(spark, "token-files")
     write_token_files(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"), end_id=1, folder=folder)
@@ -67,6 +86,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_secret_scan": op2_secret_scan,
     "op3_harmonic_packing": op3_harmonic_packing,
     "op4_language_id": op4_language_id,
+    "op5_license_scan": op5_license_scan,
+    "op6_spot_signatures": op6_spot_signatures,
     "op7_token_files": op7_token_files,
     "op8_hidden_markov": op8_hidden_markov,
     "op9_toxicity": op9_toxicity,
