@@ -1,31 +1,86 @@
-"""The corpus pipeline: documents in, packed sequences out, each stage written and read again."""
+"""The corpus pipeline: documents in, packed sequences out, each stage written and read again.
+
+Stages other than the last return the columns of documents. Null texts and ids pass through where a
+stage says nothing else; an empty table passes all stages.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import Scratch, documents
+from docquarry.llm.common import Scratch
+from docquarry.llm.decontaminate import contamination
 from docquarry.llm.ngram_join import ngram_join
+from docquarry.llm.packing import pack
+from docquarry.llm.secret_scan import mask_secrets
+from docquarry.llm.toxicity import toxicity
+
+MARK = "[secret]"
+
+
+def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are predicted toxic go. A null id is judged by its text like any other row."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scratch = Scratch(spark, "pipeline-toxic")
+    scored = scratch.keep(toxicity(docs.select("doc_id", "text"), labels))
+    rejected = scored.where("predicted = 1").select("doc_id").distinct()
+    kept = docs.join(rejected.where("doc_id IS NOT NULL"), "doc_id", "left_anti")
+    if rejected.where("doc_id IS NULL").isEmpty():
+        return kept
+    # An id cannot tell rows without one apart, so if one of them is toxic, they all go.
+    return kept.where("doc_id IS NOT NULL")
+
+
+def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies one document stays, the one with the least id; of rows that repeat an id, one.
+
+    Rows without an id belong to no group and stay.
+    """
+    scratch = Scratch(spark, "pipeline-copies")
+    linked = scratch.keep(ngram_join(docs.select("doc_id", "text"), size=5, num=8, den=10))
+    leave = linked.where("doc_id <> component_id").select("doc_id").distinct()
+    kept = docs.join(leave, "doc_id", "left_anti")
+    repeated = scratch.keep(linked.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
+    if repeated.isEmpty():
+        return kept
+    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+
+
+def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    scratch = Scratch(spark, "pipeline-benchmark")
+    found = scratch.keep(contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct())
+    kept = docs.join(found, "doc_id", "left_anti")
+    return kept if found.where("doc_id IS NULL").isEmpty() else kept.where("doc_id IS NOT NULL")
+
+
+def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by ``MARK``; the document stays, its number of characters is counted anew."""
+    return mask_secrets(docs, MARK)
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the least doc_id."""
-    linked = ngram_join(docs.select("doc_id", "text"), size=5, num=8, den=10)
-    keep = linked.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi")
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 1024 ids, with their ids."""
+    return pack(docs.select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0, capacity=1024)
 
 
 STAGES = [
-    ("near_duplicates", near_duplicates),
+    ("toxicity", toxic_out),
+    ("near_copies", near_copies_out),
+    ("benchmark", benchmark_out),
+    ("secrets", secrets_masked),
+    ("packing", packed),
 ]
 
-#: Tokenizing and trained models are beyond SQL; tests/llm compares with a brute-force version.
+#: Trained models and tokenizers are beyond SQL; tests/llm holds the run against a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = documents(spark, sf_dir, "*"), Scratch(spark, "pipeline")
+    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
     for _, stage in STAGES:
         docs = scratch.keep(stage(spark, docs, sf_dir))
     return docs

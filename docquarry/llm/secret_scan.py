@@ -194,16 +194,46 @@ def scan_secrets(docs: DataFrame, params: SecretParams = SecretParams()) -> Data
     scanned together. An empty table gives an empty result. Other columns are ignored.
     """
     scratch = Scratch(docs.sparkSession, "secrets")
+    scanned = scratch.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), *_scanned()))
+    out = _found(scanned, params)
+    return out.select("doc_id", "base", "found", _joined(F.col("base")).alias("base_spans"), _joined(F.col("found")).alias("spans"))
+
+
+def mask_secrets(docs: DataFrame, mark: str, params: SecretParams = SecretParams()) -> DataFrame:
+    """``docs`` (text, and any other columns) with each secret of ``text`` replaced by ``mark``.
+
+    All rows and columns stay, nulls too; ``n_chars``, if there, counts the code points of a text that changed
+    anew. The texts are scanned a second time, as rows may lack or share the id that a join would need; the
+    bound for random runs comes from the first scan.
+    """
+    scratch = Scratch(docs.sparkSession, "mask-secrets")
+    bound, mean = _order_bound(scratch.keep(docs.select(_scanned()[1])), params)
+    base, candidates = _scanned()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), base, candidates, F.col("text").cast("string").alias("text"))
+    spans = F.array_sort(F.concat("base", _plain("random", _random("candidates", "base", bound, mean))))
+    rows = rows.select("row", redact(F.col("text"), spans, mark).alias("masked"))
+    changed = F.coalesce(F.col("masked") != F.col("row.text"), F.lit(False))
+    new = {"text": F.col("masked"), "n_chars": F.when(changed, F.length("masked").cast("long")).otherwise(F.col("row.n_chars") if "n_chars" in docs.columns else F.lit(None))}
+    return rows.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
+
+
+def _scanned() -> list[Column]:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     assign = F.filter(matches(text, ASSIGN, 2), lambda m: F.length(m["value"]) >= LEAST_ASSIGN)
     kinds = [_plain("assign", assign), _plain("access", matches(text, ACCESS_LONG)), _plain("hex", matches(text, HEX_LONG))]
     base = F.array_sort(F.concat(*kinds))
-    scanned = scratch.keep(docs.select(F.col("doc_id").cast("long").alias("doc_id"), base.alias("base"), _candidates(text).alias("candidates")))
+    return [base.alias("base"), _candidates(text).alias("candidates")]
+
+
+def _random(candidates: str, base: str, bound: float, mean: float) -> Column:
+    """The candidates that pass for random and lie in no base span."""
+    passes = F.filter(candidates, lambda c: _weighted(c, mean) < F.lit(bound))
+    return F.filter(passes, lambda c: ~F.exists(base, lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
+
+
+def _found(scanned: DataFrame, params: SecretParams) -> DataFrame:
     bound, mean = _order_bound(scanned, params)
-    passes = F.filter("candidates", lambda c: _weighted(c, mean) < F.lit(bound))
-    new = F.filter(passes, lambda c: ~F.exists("base", lambda b: (b["start"] <= c["start"]) & (b["end"] >= c["end"])))
-    out = scanned.withColumn("found", F.array_sort(F.concat("base", _plain("random", new))))
-    return out.select("doc_id", "base", "found", _joined(F.col("base")).alias("base_spans"), _joined(F.col("found")).alias("spans"))
+    return scanned.withColumn("found", F.array_sort(F.concat("base", _plain("random", _random("candidates", "base", bound, mean)))))
 
 
 def redact(text: Column, found: Column, mark: str) -> Column:
