@@ -276,7 +276,10 @@ def assemble_metadata(
 
 def works_by_window(quads: DataFrame, today: datetime.date, total_days: int, step: int, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
     """Distinct (work, window_no): every lookback window a work has a date in."""
-    dates = pattern(quads, vocabulary.date).select(F.col("s").alias("work"), F.col("o").alias("date"))
+    # The span as text reaches the scan; the window number is arithmetic on what it lets through.
+    first = (today - datetime.timedelta(days=total_days - 1)).isoformat()
+    near = pattern(quads, vocabulary.date).filter((F.col("o") >= first) & (F.col("o") < (today + datetime.timedelta(days=1)).isoformat()))
+    dates = near.select(F.col("s").alias("work"), F.col("o").alias("date"))
     return with_window(dates, today, total_days, step).select("work", "window_no").distinct()
 
 

@@ -105,9 +105,14 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("n_rows", T.LongType()),
         T.StructField("error", _STRING),
         T.StructField("run_id", _STRING),
+        T.StructField("seq", T.LongType()),
+        T.StructField("attempt", _STRING),
+        T.StructField("columns", _STRING),
     ]
 )
 
+RANGE_MANIFEST_SCHEMA = T.StructType([T.StructField("window_start", _STRING), T.StructField("window_end", _STRING), *MANIFEST_SCHEMA.fields[1:]])
+
 
 def conform(df: DataFrame, schema: T.StructType, keep_extra: bool = False) -> DataFrame:
     """Project to the declared columns, in order and cast; columns the frame lacks become null.

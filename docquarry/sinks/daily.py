@@ -1,12 +1,16 @@
 """Documents by day or by range, with a manifest that tells empty, failed and missing days apart.
 
-Layout: ``files/year=/day=/scope=``, where ``day`` is the mined day (a document's own date may
-differ) and ``scope`` the language filter of the run, or ``all``. A day is overwritten on a re-run.
-Each row names its run in ``_run``, and the manifest the run that counts, so rows of a day that
-has since become empty, or of a run that died before its manifest entry, are never read.
+Layout: ``files/year=/day=/scope=/_run=``, where ``day`` is the mined day (a document's own date may
+differ), ``scope`` the language filter of the run, or ``all``, and ``_run`` one attempt of a run.
+Attempts only ever add files. The manifest entry, written last, is the switch: a run that dies
+before it leaves everything as it was, and a day that became empty has an entry that says so.
+Entries are ordered by a number, one above the largest so far, never by the text of run ids; one
+writer at a time is assumed. Files of superseded attempts stay until ``superseded`` is cleaned up.
 """
 
+import json
 import posixpath
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquarry.operators.ranking import keep_first
-from docquarry.schemas import MANIFEST_SCHEMA
+from docquarry.schemas import MANIFEST_SCHEMA, RANGE_MANIFEST_SCHEMA
 from docquarry.sources.tables import read_or_empty
 
 RUN = "_run"
@@ -40,6 +44,10 @@ class Corpus:
     def manifest(self) -> str:
         return posixpath.join(self.root, "manifest")
 
+    @property
+    def range_manifest(self) -> str:
+        return posixpath.join(self.root, "range-manifest")
+
     @property
     def extracted(self) -> str:
         return posixpath.join(self.root, "extracted")
@@ -58,8 +66,19 @@ def _write_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     # Rebalancing gives a small day one file and splits a day that holds much of the data over
     # several tasks; a plain repartition by day would put such a day into one task.
     balanced = df.hint("rebalance", *partition_by)
-    writer = balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(*partition_by).parquet(path)
+    balanced.write.mode("append").partitionBy(*partition_by).parquet(path)
+
+
+def _attempt(manifest: DataFrame, run_id: str) -> tuple[int, str]:
+    """The number and the label of the next attempt. A replayed run gets new ones."""
+    return (manifest.agg(F.max("seq")).first()[0] or 0) + 1, f"{run_id}~{uuid.uuid4().hex[:12]}"
+
+
+def _stamped(entries: DataFrame, docs: DataFrame, scope: str, run_id: str, seq: int, attempt: str) -> DataFrame:
+    """Manifest columns that all entries of an attempt share; ``columns`` is the schema of its rows."""
+    return entries.select(
+        "*", F.lit(scope).alias("scope"), F.lit(run_id).alias("run_id"), F.lit(seq).cast("long").alias("seq"), F.lit(attempt).alias("attempt"), F.lit(docs.schema.json()).alias("columns")
+    )
 
 
 def planned_days(days: DataFrame, discovered: DataFrame | None = None, errors: DataFrame | None = None) -> DataFrame:
@@ -74,49 +93,55 @@ def planned_days(days: DataFrame, discovered: DataFrame | None = None, errors: D
 
 
 def write_days(docs: DataFrame, planned: DataFrame, corpus: Corpus, run_id: str, scope: str = ALL_LANGUAGES) -> DataFrame:
-    """Overwrite the days in ``docs``, then record every planned day; returns this run's entries.
+    """Add the days in ``docs``, then record every planned day; returns this attempt's entries.
 
     A planned day without documents gets an ``empty`` entry, one with an error an ``errors`` entry
-    that leaves the stored day as it was. ``run_id`` must sort after the ids of earlier runs, and
+    that leaves the stored day as it was. A run id may come again: the later attempt counts.
     ``docs`` must not hold days that are not planned.
     """
     spark = docs.sparkSession
-    rows = docs.withColumns({"scope": F.lit(scope), RUN: F.lit(run_id), "year": F.substring("day", 1, 4)})
-    _write_partitions(rows, corpus.files, ("year", "day", "scope"))
-
-    written = spark.read.schema(f"{RUN} string, year string, day string, scope string").parquet(corpus.files)
-    # The two ends of the plan keep the count from opening files of all other days.
-    first, last = planned.agg(F.min("day"), F.max("day")).first()
-    written = written.filter(F.col("day").between(first, last) & (F.col("scope") == scope))
-    counts = written.filter(F.col(RUN) == run_id).groupBy("day")
-    entries = planned.join(counts.agg(F.count("*").alias("n")), "day", "left")
+    seq, attempt = _attempt(_entries(spark, corpus), run_id)
+    rows = docs.withColumns({"scope": F.lit(scope), RUN: F.lit(attempt), "year": F.substring("day", 1, 4)})
+    _write_partitions(rows, corpus.files, ("year", "day", "scope", RUN))
+
+    # Only the partitions of this attempt are opened.
+    written = read_or_empty(spark, corpus.files, T.StructType([T.StructField(c, T.StringType()) for c in ("year", "day", "scope", RUN)]))
+    counts = written.filter(F.col(RUN) == attempt).groupBy("day").agg(F.count("*").alias("n"))
+    entries = planned.join(counts, "day", "left")
     status = (
         F.when(F.col("error").isNotNull(), "errors")
         .when((F.coalesce("discovered", F.lit(0)) > 0) | (F.col("n") > 0), "rows")
         .otherwise("empty")
     )
-    entries = entries.select(
-        "day",
-        F.lit(scope).alias("scope"),
-        status.alias("status"),
-        F.when(F.col("error").isNull(), F.coalesce("n", F.lit(0))).alias("n_rows"),
-        "error",
-        F.lit(run_id).alias("run_id"),
-    )
+    entries = entries.select("day", status.alias("status"), F.when(F.col("error").isNull(), F.coalesce("n", F.lit(0))).alias("n_rows"), "error")
+    entries = _stamped(entries, docs, scope, run_id, seq, attempt).select(*MANIFEST_SCHEMA.fieldNames())
     entries.coalesce(1).write.mode("append").parquet(corpus.manifest)
-    return read_manifest(spark, corpus).filter(F.col("run_id") == run_id)
+    return _entries(spark, corpus).filter(F.col("attempt") == attempt)
 
 
-def read_manifest(spark: SparkSession, corpus: Corpus) -> DataFrame:
+def _entries(spark: SparkSession, corpus: Corpus) -> DataFrame:
     return read_or_empty(spark, corpus.manifest, MANIFEST_SCHEMA)
 
 
+def read_manifest(spark: SparkSession, corpus: Corpus) -> DataFrame:
+    """One entry per run, day and scope: of a run that was replayed, the last."""
+    return keep_first(_entries(spark, corpus), ["run_id", "day", "scope"], [F.desc("seq")])
+
+
 def current_manifest(spark: SparkSession, corpus: Corpus, with_errors: bool = False) -> DataFrame:
     """The latest entry per day and scope; failed attempts count only ``with_errors``."""
-    entries = read_manifest(spark, corpus)
+    entries = _entries(spark, corpus)
     if not with_errors:
         entries = entries.filter("status <> 'errors'")
-    return keep_first(entries, ["day", "scope"], [F.desc("run_id")])
+    return keep_first(entries, ["day", "scope"], [F.desc("seq")])
+
+
+def superseded(spark: SparkSession, corpus: Corpus) -> DataFrame:
+    """(day, scope, _run) of stored partitions that no entry points to any more, for a clean-up to drop."""
+    names = ("year", "day", "scope", RUN)
+    stored_parts = read_or_empty(spark, corpus.files, T.StructType([T.StructField(c, T.StringType()) for c in names]))
+    valid = current_manifest(spark, corpus).select("day", "scope", F.col("attempt").alias(RUN))
+    return stored_parts.select("day", "scope", RUN).distinct().join(valid, ["day", "scope", RUN], "left_anti")
 
 
 def manifest_inventory(spark: SparkSession, corpus: Corpus, scope: str = ALL_LANGUAGES) -> DataFrame:
@@ -126,25 +151,86 @@ def manifest_inventory(spark: SparkSession, corpus: Corpus, scope: str = ALL_LAN
     return current.select(F.col("day").alias("date"), F.lit(corpus.files).alias("path"), F.col("n_rows").alias("num_rows"))
 
 
-def read_days(spark: SparkSession, corpus: Corpus, schema: T.StructType) -> DataFrame:
-    """Documents of all valid days, with ``day`` and ``scope``."""
+def corpus_schema(spark: SparkSession, corpus: Corpus, days: DataFrame | None = None) -> T.StructType:
+    """All columns that the valid days have, or those of ``days`` (day); jobs may differ in their keywords."""
+    entries = current_manifest(spark, corpus)
+    if days is not None:
+        entries = entries.join(days.select("day"), "day", "left_semi")
+    # One row per set of columns. The later attempt settles a type.
+    rows = entries.groupBy("columns").agg(F.max("seq").alias("seq")).orderBy(F.desc("seq")).collect()
+    return union_schema(*[T.StructType.fromJson(json.loads(r["columns"])) for r in rows])
+
+
+def union_schema(*schemas: T.StructType) -> T.StructType:
+    """The fields of all schemas by name, the first of a name."""
+    fields: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for field in schema:
+            fields.setdefault(field.name, T.StructField(field.name, field.dataType))
+    return T.StructType(list(fields.values()))
+
+
+def read_days(spark: SparkSession, corpus: Corpus, schema: T.StructType | None = None) -> DataFrame:
+    """Documents of all valid days, with ``day`` and ``scope``; by default with every column stored."""
+    schema = corpus_schema(spark, corpus) if schema is None else schema
     keys = ("day", "scope", RUN)
     names = [n for n in schema.fieldNames() if n not in (*keys, "year")]
-    full = T.StructType([*[schema[n] for n in names], *[T.StructField(n, T.StringType()) for n in (RUN, "year", "day", "scope")]])
+    full = T.StructType([*[schema[n] for n in names], *[T.StructField(n, T.StringType()) for n in ("year", "day", "scope", RUN)]])
     rows = read_or_empty(spark, corpus.files, full)
-    valid = current_manifest(spark, corpus).select("day", "scope", F.col("run_id").alias(RUN))
+    valid = current_manifest(spark, corpus).select("day", "scope", F.col("attempt").alias(RUN))
     return rows.join(valid, list(keys), "left_semi").select(*names, "day", "scope")
 
 
-def write_ranges(docs: DataFrame, corpus: Corpus, scope: str = ALL_LANGUAGES) -> None:
-    """Windows wider than a day: one partition per window, in the year of its first day.
+def sql_over_days(spark: SparkSession, corpus: Corpus, query: str, view: str = "documents") -> DataFrame:
+    """Run ``query`` over the valid days of a corpus, seen as the view ``view``."""
+    read_days(spark, corpus).createOrReplaceTempView(view)
+    return spark.sql(query)
 
-    Range partitions have no ``day`` and so are invisible to inventory and backfill.
-    """
-    rows = docs.withColumns({"scope": F.lit(scope), "year": F.substring("window_start", 1, 4)})
-    _write_partitions(rows, corpus.ranges, ("year", "window_start", "window_end", "scope"))
 
+def write_ranges(docs: DataFrame, corpus: Corpus, run_id: str, windows: DataFrame | None = None, scope: str = ALL_LANGUAGES) -> None:
+    """Windows wider than a day: one partition per window and attempt, in the year of its first day.
 
-def read_ranges(spark: SparkSession, corpus: Corpus) -> DataFrame:
-    rows = spark.read.parquet(corpus.ranges)
-    return rows.withColumns({c: F.col(c).cast("string") for c in ("year", "window_start", "window_end", "scope")})
+    ``windows`` (start, end) names all windows of the run, so that one without documents gets an ``empty``
+    entry; by default they are those of ``docs``. Range partitions have no ``day`` and so are
+    invisible to inventory and backfill.
+    """
+    spark = docs.sparkSession
+    seq, attempt = _attempt(read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA), run_id)
+    rows = docs.withColumns({"scope": F.lit(scope), RUN: F.lit(attempt), "year": F.substring("window_start", 1, 4)})
+    keys = ("year", "window_start", "window_end", "scope", RUN)
+    _write_partitions(rows, corpus.ranges, keys)
+    written = read_or_empty(spark, corpus.ranges, T.StructType([T.StructField(c, T.StringType()) for c in keys])).filter(F.col(RUN) == attempt)
+    counts = written.groupBy("window_start", "window_end").agg(F.count("*").alias("n_rows"))
+    entries = counts if windows is None else windows.select(F.col("start").alias("window_start"), F.col("end").alias("window_end")).join(counts, ["window_start", "window_end"], "left")
+    n = F.coalesce("n_rows", F.lit(0)).cast("long")
+    entries = entries.select("window_start", "window_end", F.when(n > 0, "rows").otherwise("empty").alias("status"), n.alias("n_rows"), F.lit(None).cast("string").alias("error"))
+    entries = _stamped(entries, docs, scope, run_id, seq, attempt).select(*RANGE_MANIFEST_SCHEMA.fieldNames())
+    entries.coalesce(1).write.mode("append").parquet(corpus.range_manifest)
+
+
+def read_ranges(spark: SparkSession, corpus: Corpus, date: str = "date") -> DataFrame:
+    """Documents of the valid ranges.
+
+    The last attempt that covers a day gives its documents: a row of an older window counts if its
+    ``date`` (outside the window, the window's start) lies in no window of a later attempt of its scope. So a
+    window that became empty hides its older rows, and windows that a later run shifts do not
+    overlap.
+    """
+    entries = keep_first(read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA), ["window_start", "window_end", "scope", "attempt"], [F.desc("seq")])
+    schemas = entries.groupBy("columns").agg(F.max("seq").alias("seq")).orderBy(F.desc("seq")).collect()
+    schema = union_schema(*[T.StructType.fromJson(json.loads(r["columns"])) for r in schemas])
+    keys = ("year", "window_start", "window_end", "scope", RUN)
+    names = [n for n in schema.fieldNames() if n not in keys]
+    rows = read_or_empty(spark, corpus.ranges, T.StructType([*[schema[n] for n in names], *[T.StructField(n, T.StringType()) for n in keys]]))
+    later = entries.select(F.col("window_start").alias("from"), F.col("window_end").alias("to"), F.col("scope").alias("of"), F.col("seq").alias("later"))
+    overlaps = (F.col("of") == F.col("scope")) & (F.col("later") > F.col("seq")) & (F.col("from") <= F.col("window_end")) & (F.col("to") >= F.col("window_start"))
+    # A row per entry; windows are as many as the calendar and the runs make them.
+    known = entries.join(later, overlaps, "left").groupBy("window_start", "window_end", "scope", F.col("attempt").alias(RUN)).agg(
+        F.collect_list(F.when(F.col("from").isNotNull(), F.struct("from", "to"))).alias("_later")
+    )
+    day = F.col("window_start")
+    if date in names:
+        day = F.when(F.col(date).between(F.col("window_start"), F.col("window_end")), F.col(date)).otherwise(day)
+    valid = rows.join(known, ["window_start", "window_end", "scope", RUN]).withColumn("_day", day)
+    valid = valid.filter(~F.exists("_later", lambda w: (w["from"] <= F.col("_day")) & (w["to"] >= F.col("_day"))))
+    return valid.select(*names, "year", "window_start", "window_end", "scope")

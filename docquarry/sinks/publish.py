@@ -33,10 +33,11 @@ def publish_changes(
     previous = earlier.join(earlier.agg(F.max("run").alias("run")), "run", "left_semi").drop("run")
     if touched is not None:
         digests = digests.unionByName(previous.join(touched.select(*keys), keys, "left_anti"))
-    current = stored(digests, f"{digest_path}/run={run_id}")
-    status = stored(changed_partitions(current, previous, keys), f"{digest_path}-status/run={run_id}")
+    status = stored(changed_partitions(digests, previous, keys), f"{digest_path}-status/run={run_id}")
     to_write = status.filter(F.col("status").isin("new", "changed")).select(*keys)
     changed = candidates.join(to_write, keys, "left_semi").hint("rebalance", *keys)
     writer = changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(*keys).parquet(target)
+    # The digests say what is published, so they come last: a run that dies before them is done again.
+    digests.write.mode("overwrite").parquet(f"{digest_path}/run={run_id}")
     return status

@@ -3,6 +3,7 @@
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow
 import pyarrow.fs
 import pyarrow.parquet
 from pyspark.sql import DataFrame, SparkSession
@@ -19,12 +20,14 @@ def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataF
 
 
 def _footer_rows(path: str) -> int | None:
-    try:
-        filesystem, name = pyarrow.fs.FileSystem.from_uri(path)
-        with filesystem.open_input_file(name) as handle:
+    # A scheme that is not known, a missing right or a lost connection is an error of the job: it
+    # must not make the whole corpus look unreadable, and so due to be fetched again.
+    filesystem, name = pyarrow.fs.FileSystem.from_uri(path)
+    with filesystem.open_input_file(name) as handle:
+        try:
             return pyarrow.parquet.ParquetFile(handle).metadata.num_rows
-    except Exception:  # an unreadable file is reported as such, not fatal
-        return None
+        except (pyarrow.ArrowInvalid, EOFError):  # a broken footer is reported, not fatal
+            return None
 
 
 def _add_footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -56,15 +59,22 @@ def scan_inventory(spark: SparkSession, root: str, prefix: str, suffix: str = ""
     return daily_inventory(with_row_counts(matching), prefix, suffix)
 
 
-def scan_partitions(spark: SparkSession, root: str, scope: str = "all") -> DataFrame:
-    """Inventory of the day partitions ``day=.../scope=...`` a job wrote.
+def scan_partitions(spark: SparkSession, root: str, scope: str = "all", current: DataFrame | None = None) -> DataFrame:
+    """Inventory of the day partitions ``day=.../scope=.../_run=...`` that jobs wrote.
+
+    ``current`` (attempt) restricts it to the attempts that count; without it all files are counted.
 
     A partition may have many files: their counts add up, and one unreadable file makes the count
     unknown.
     """
     day = F.regexp_extract("path", r"/day=(\d{4}-\d{2}-\d{2})/", 1)
     in_scope = F.col("path").contains(f"/scope={scope}/")
-    counted = with_row_counts(list_files(spark, root).filter((day != "") & in_scope))
+    files = list_files(spark, root).filter((day != "") & in_scope)
+    if current is not None:
+        attempt = F.url_decode(F.regexp_extract("path", r"/_run=([^/]+)/", 1))
+        valid = current.select("day", "attempt")
+        files = files.withColumns({"day": day, "attempt": attempt}).join(valid, ["day", "attempt"], "left_semi").select("path")
+    counted = with_row_counts(files)
     total = F.when(F.count("num_rows") == F.count("*"), F.sum("num_rows"))
     return (
         counted.groupBy(day.alias("date"))
@@ -93,21 +103,12 @@ def read_payload_files(spark: SparkSession, root: str) -> DataFrame:
     return named.filter("format <> ''")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Spread a plain scan over the cores if it has fewer partitions than there are cores.
-
-    Spark does not split a row group, so a small file is one task however costly its rows are. A
-    scan that already has enough partitions is returned as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores, key)
-
-
-def read_documents(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
+def read_documents(spark: SparkSession, root: str, merge_schema: bool = True) -> DataFrame:
     """All parquet files below ``root``, at any depth.
 
-    Files of one job share their columns. ``merge_schema`` reads every footer, for a folder whose
-    files were written with different keywords.
+    Every footer is read for its columns, as files may be written with different keywords. Where all
+    files are known to share theirs, ``merge_schema=False`` spares that. It knows no manifest: for a corpus
+    use ``sql_over_days`` or ``read_days``.
     """
     reader = spark.read.option("recursiveFileLookup", True).option("mergeSchema", merge_schema)
     return reader.parquet(root)

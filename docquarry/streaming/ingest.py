@@ -3,7 +3,7 @@
 import datetime
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -12,7 +12,7 @@ from docquarry.operators.calendar import window_no
 from docquarry.operators.dedup import dedup_keep_last
 from docquarry.operators.shape import binding_lists, shape_documents
 from docquarry.settings import shared_dir
-from docquarry.sinks.daily import ALL_LANGUAGES, Corpus, planned_days, read_days, write_days
+from docquarry.sinks.daily import ALL_LANGUAGES, Corpus, corpus_schema, planned_days, read_days, union_schema, write_days
 from docquarry.sources.tables import stored
 
 DOCUMENT_KEY = ("url", "date", "lang")
@@ -31,11 +31,18 @@ def merge_days(
     spark = docs.sparkSession
     days = docs.select("day").distinct()
     touched = F.col("day").isin([row.day for row in days.collect()])
-    old = read_days(spark, corpus, docs.schema).filter((F.col("scope") == scope) & touched).drop("scope")
-    both = old.withColumn("_new", F.lit(0)).unionByName(docs.withColumn("_new", F.lit(1)))
+    # The stored days may have columns that the batch lacks, as text and matches. They stay: a day
+    # is never written with fewer columns, and a newer row keeps what it does not know itself.
+    schema = union_schema(docs.schema, corpus_schema(spark, corpus, days))
+    lacking = [c for c in schema.fieldNames() if c not in docs.columns]
+    old = read_days(spark, corpus, schema).filter((F.col("scope") == scope) & touched).drop("scope")
+    both = old.withColumn("_new", F.lit(0)).unionByName(docs.withColumn("_new", F.lit(1)), allowMissingColumns=True)
     both = both.withColumn("_key", F.struct(*key))
     # Rows of one batch with one key differ at most in content; a digest settles which stays.
     both = both.withColumn("_tie", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    if lacking:
+        same = Window.partitionBy("day", "_key").orderBy("_new", "_tie").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        both = both.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.last(F.col(f"`{c}`"), ignorenulls=True).over(same)) for c in lacking})
     merged = dedup_keep_last(both, "_key", ("_new", "_tie"), within=("day",)).drop("_key", "_new", "_tie")
     merged = stored(merged, shared_dir(spark, f"merge-{run_id}"))
     return write_days(merged, planned_days(days), corpus, run_id, scope)

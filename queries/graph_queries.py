@@ -40,6 +40,11 @@ def window_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.window_works(_quads(spark, sf_dir), START, END)
 
 
+def window_works_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature of a page of works: 50 of them after the first 20, in order."""
+    return graph.window_works(_quads(spark, sf_dir), START, END, limit=50, offset=20)
+
+
 def celex_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     quads = _quads(spark, sf_dir)
     per_graph = graph.work_properties(quads, graph.dated_works(quads, START, END))
@@ -218,7 +223,12 @@ QUERIES = {
     "window_works": Query(
         window_works,
         with_fixtures("quads", "WITH " + _ASSEMBLY_SQL.lstrip().split("),\nenglish")[0].format(start=START, end=END) + ") SELECT work FROM works"),
-        "G1 G13 F1",
+        "G1 F1",
+    ),
+    "window_works_page": Query(
+        window_works_page,
+        with_fixtures("quads", "WITH " + _ASSEMBLY_SQL.lstrip().split("),\nenglish")[0].format(start=START, end=END) + ") SELECT DISTINCT work FROM works ORDER BY work LIMIT 50 OFFSET 20"),
+        "G13",
     ),
     "celex_fallback": Query(
         celex_fallback,

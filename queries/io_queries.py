@@ -5,16 +5,17 @@ import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docquarry.operators.calendar import calendar_between, with_window
+from docquarry.operators.calendar import calendar_between, lookback_windows, with_window
 from docquarry.operators.taxonomy import taxonomy_keys
 from docquarry.schemas import BINDING_VARIABLES
 from docquarry.settings import shared_dir
-from docquarry.sinks.daily import Corpus, planned_days, read_days, read_ranges, write_days, write_ranges
+from docquarry.sinks.daily import Corpus, planned_days, read_days, read_ranges, sql_over_days, write_days, write_ranges
 from docquarry.sinks.publish import publish_changes
 from docquarry.sources.bindings import read_bindings, stream_bindings
 from docquarry.sources.files import scan_partitions, sql_over_files
+from docquarry.sources.tables import stored
 from docquarry.sources.taxonomy_xml import read_taxonomy_entries, write_taxonomy_entries
-from docquarry.streaming.ingest import ingest_stream, read_late
+from docquarry.streaming.ingest import ingest_stream, merge_days, read_late
 from queries import Query
 from queries.fixtures import fixture, with_fixtures
 from queries.graph_queries import _joined, _mapping_sql, _taxonomy
@@ -53,7 +54,56 @@ def empty_day_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = docs.agg(F.max("day").alias("day"))
     errors = failed.withColumn("error", F.lit("source gave no answer"))
     good = docs.join(failed, "day", "left_anti")
-    return write_days(good, _plan(spark, good, errors), corpus, "run-1").drop("run_id")
+    return write_days(good, _plan(spark, good, errors), corpus, "run-1").drop("run_id", "seq", "attempt", "columns")
+
+
+def crashed_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run writes its files and dies before its manifest entries: the first run's rows are read."""
+    corpus = Corpus(shared_dir(spark, "corpus"))
+    before, docs = _docs(spark, sf_dir, "docs_before"), _docs(spark, sf_dir)
+    write_days(before, _plan(spark, before), corpus, "run-1")
+    files = docs.withColumns({"year": F.substring("day", 1, 4), "scope": F.lit("all"), "_run": F.lit("run-2~died")})
+    files.write.mode("append").partitionBy("year", "day", "scope", "_run").parquet(corpus.files)
+    return read_days(spark, corpus)
+
+
+def stream_then_lookback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lookback after a stream run counts, though its id sorts before; the replay of its id counts again."""
+    corpus = Corpus(shared_dir(spark, "corpus"))
+    for run, name in (("stream-000000000000", "docs"), ("2024-01-30T06", "docs_before"), ("2024-01-30T06", "docs")):
+        docs = _docs(spark, sf_dir, name)
+        write_days(docs, _plan(spark, docs), corpus, run)
+    return read_days(spark, corpus)
+
+
+def stream_over_mined_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metadata without text lands on mined days: the new ids are taken over, every text stays."""
+    corpus = Corpus(shared_dir(spark, "corpus"))
+    docs = _docs(spark, sf_dir).withColumn("match_thing", F.col("text").contains("thing"))
+    write_days(docs, _plan(spark, docs), corpus, "run-1")
+    batch = docs.filter("ord % 3 = 0").drop("text", "match_thing").withColumn("celex", F.concat(F.lit("new-"), F.col("ord").cast("string")))
+    merge_days(stored(batch, shared_dir(spark, "batch")), corpus, "stream-1", key=("ord",))
+    return read_days(spark, corpus).drop("scope")
+
+
+def ranges_after_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run of the same ranges, in which the second week has no documents any more."""
+    corpus = Corpus(shared_dir(spark, "corpus"))
+    docs = with_window(_docs(spark, sf_dir).drop("day"), TODAY, 30, 7)
+    windows = lookback_windows(spark, TODAY, 30, 7)
+    write_ranges(docs.drop("window_no"), corpus, "run-1", windows)
+    write_ranges(docs.filter("window_no <> 1").drop("window_no"), corpus, "run-2", windows)
+    return read_ranges(spark, corpus).select("window_start", "window_end", "url", "text")
+
+
+def sql_after_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SQL over a corpus whose last day became empty in a second run."""
+    corpus = Corpus(shared_dir(spark, "corpus"))
+    docs = _docs(spark, sf_dir)
+    write_days(docs, _plan(spark, docs), corpus, "run-1")
+    fewer = docs.join(docs.agg(F.max("day").alias("day")), "day", "left_anti")
+    write_days(fewer, _plan(spark, fewer), corpus, "run-2")
+    return sql_over_days(spark, corpus, "SELECT day, count(*) AS n_docs, sum(length(text)) AS n_chars FROM documents GROUP BY day")
 
 
 def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +117,7 @@ def inventory_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def range_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     corpus = Corpus(shared_dir(spark, "corpus"))
     docs = with_window(_docs(spark, sf_dir).drop("day"), TODAY, 30, 7).drop("window_no")
-    write_ranges(docs, corpus)
+    write_ranges(docs, corpus, "run-1")
     return read_ranges(spark, corpus).select("year", "window_start", "window_end", "url", "text")
 
 
@@ -141,6 +191,32 @@ QUERIES = {
         with_fixtures("docs", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs"),
         "O1 O3",
     ),
+    "crashed_run": Query(crashed_run, with_fixtures("docs_before", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs_before"), "O1 O3"),
+    "stream_then_lookback": Query(stream_then_lookback, with_fixtures("docs", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs"), "O1 O3"),
+    "stream_over_mined_days": Query(
+        stream_over_mined_days,
+        with_fixtures(
+            "docs",
+            """SELECT ord, url, CASE WHEN ord % 3 = 0 THEN 'new-' || ord ELSE celex END AS celex, date, lang, text, date AS day,
+                      contains(text, 'thing') AS match_thing FROM docs""",
+        ),
+        "O1 ST1",
+    ),
+    "ranges_after_rerun": Query(
+        ranges_after_rerun,
+        with_fixtures(
+            "docs",
+            """SELECT CAST(DATE '2024-01-30' - CAST(least(k * 7 + 7, 30) - 1 AS int) AS string) AS window_start,
+                      CAST(DATE '2024-01-30' - CAST(k * 7 AS int) AS string) AS window_end, url, text
+               FROM (SELECT *, date_diff('day', CAST(date AS date), DATE '2024-01-30') // 7 AS k FROM docs) t WHERE k <> 1""",
+        ),
+        "O2",
+    ),
+    "sql_after_rerun": Query(
+        sql_after_rerun,
+        with_fixtures("docs", "SELECT date AS day, count(*) AS n_docs, CAST(sum(length(text)) AS bigint) AS n_chars FROM docs WHERE date < (SELECT max(date) FROM docs) GROUP BY date"),
+        "S4",
+    ),
     "empty_day_manifest": Query(
         empty_day_manifest,
         with_fixtures(

@@ -13,7 +13,6 @@ from docquarry.functions.text import CLEAN_RULES, clean_text, filter_keyword_mat
 from docquarry.operators.dedup import dedup_keep_last, dedup_stats
 from docquarry.operators.extract import chosen_format, extract_errors, extract_payloads, todo
 from docquarry.plans.mine import MineParams, transform_documents
-from docquarry.sources.files import spread
 from queries import Query
 from queries.fixtures import fixture, table, with_fixtures
 
@@ -32,12 +31,12 @@ _MATCHES = r"""
 
 
 def keyword_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return match_keywords(clean_text(docs), KEYWORDS).drop("text")
 
 
 def keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return filter_keyword_matches(match_keywords(docs, KEYWORDS[:4]), KEYWORDS[:4])
 
 
@@ -59,7 +58,7 @@ def dedup_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spread(fixture(spark, sf_dir, "docs").select("ord", "url", "celex", "date", "text"), "ord")
+    docs = fixture(spark, sf_dir, "docs").select("ord", "url", "celex", "date", "text")
     params = MineParams(
         today=datetime.date(2024, 1, 30),
         days=30,
@@ -72,7 +71,7 @@ def mine_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_text(spread(fixture(spark, sf_dir, "noisy"), "doc_id"), tuple(CLEAN_RULES))
+    return clean_text(fixture(spark, sf_dir, "noisy"), tuple(CLEAN_RULES))
 
 
 def format_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,7 +80,7 @@ def format_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = spread(table(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
     payloads = pages.select("page_id", F.lit("html").alias("format"), F.col("html").alias("content"))
     return extract_payloads(payloads).select("page_id", "text").filter("text IS NOT NULL")
 
@@ -102,7 +101,7 @@ def _docx_rows(batches):
 
 def docx_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document wrapped as a DOCX payload, then extracted."""
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     archives = docs.mapInPandas(_docx_rows, "doc_id long, content binary").withColumn("format", F.lit("docx"))
     return extract_payloads(archives).select("doc_id", "text", "error")
 

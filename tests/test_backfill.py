@@ -6,7 +6,6 @@ from docquarry.functions.dates import parse_iso
 from docquarry.operators.calendar import calendar_between, lookback_windows, with_window
 from docquarry.operators.gaps import calendar_gaps, classify_days, completeness_report, first_gaps, plan_days, plan_summary, run_summary
 from docquarry.plans.backfill import BackfillParams, plan_backfill, resolve_range
-from docquarry.plans.mine import run_each_window
 from docquarry.schemas import INVENTORY_SCHEMA, RUN_LOG_SCHEMA
 from docquarry.sources.files import daily_inventory, dates_in_names
 
@@ -142,13 +141,3 @@ def test_run_summary_lists_failed_and_empty_days(spark):
     assert (row.attempted, row.with_rows, row.still_empty, row.n_errors) == (3, 1, 1, 1)
     assert [tuple(e) for e in row.errored] == [("2024-01-02", "boom")]
     assert row.empty_dates == ["2024-01-03"]
-
-
-def test_a_failing_window_does_not_stop_the_others(spark):
-    def work(start, end):
-        if start == "b":
-            raise RuntimeError("down")
-        return "rows", 2, "p"
-
-    log = run_each_window(spark, [("a", "a"), ("b", "b"), ("c", "c")], work)
-    assert [(r.date, r.status, r.error) for r in log.collect()] == [("a", "rows", None), ("b", "errors", "RuntimeError('down')"), ("c", "rows", None)]

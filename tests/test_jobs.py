@@ -14,10 +14,10 @@ from docquarry.operators.gaps import run_summary
 from docquarry.plans.backfill import BackfillParams, run_backfill
 from docquarry.plans.mine import MineParams, mine, run_lookback
 from docquarry.schemas import DOCUMENT_SCHEMA, PAYLOAD_SCHEMA, QUAD_SCHEMA
-from docquarry.sinks.daily import Corpus, current_manifest, planned_days, read_days, read_manifest, read_ranges, scope_of, write_days
+from docquarry.sinks.daily import Corpus, current_manifest, planned_days, read_days, read_manifest, read_ranges, scope_of, sql_over_days, superseded, write_days, write_ranges
 from docquarry.sinks.publish import publish_changes
 from docquarry.sources.bindings import read_bindings
-from docquarry.sources.files import read_documents, scan_inventory, scan_partitions, spread, sql_over_files
+from docquarry.sources.files import read_documents, scan_inventory, scan_partitions, with_row_counts
 from docquarry.sources.taxonomy_xml import read_taxonomy_entries
 from docquarry.streaming.ingest import merge_days
 
@@ -89,9 +89,65 @@ def test_a_run_without_manifest_entry_is_not_read(spark, tmp_path):
     corpus = Corpus(str(tmp_path))
     docs = _docs(spark, ("u1", "d", "eng", "x", "2024-01-01"))
     write_days(docs, planned_days(docs.select("day")), corpus, "1")
-    died = docs.withColumns({"scope": F.lit("all"), "_run": F.lit("2"), "year": F.lit("2024")})
-    died.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "day", "scope").parquet(corpus.files)
-    assert read_days(spark, corpus, docs.schema).count() == 0
+    died = docs.withColumns({"url": F.lit("u2"), "scope": F.lit("all"), "_run": F.lit("2"), "year": F.lit("2024")})
+    died.write.mode("append").partitionBy("year", "day", "scope", "_run").parquet(corpus.files)
+    assert [r.url for r in read_days(spark, corpus, docs.schema).collect()] == ["u1"]
+    assert [r["_run"] for r in superseded(spark, corpus).collect()] == ["2"]
+
+
+def test_the_last_attempt_counts_whatever_its_run_is_called(spark, tmp_path):
+    corpus = Corpus(str(tmp_path))
+    for url, run in (("u1", "stream-0"), ("u2", "2024-01-28T06"), ("u3", "2024-01-28T06")):
+        docs = _docs(spark, (url, "d", "eng", "x", "2024-01-01"))
+        assert write_days(docs, planned_days(docs.select("day")), corpus, run).count() == 1
+        assert [r.url for r in read_days(spark, corpus).collect()] == [url]
+    assert read_manifest(spark, corpus).count() == 2
+    gone = docs.limit(0)
+    write_days(gone, planned_days(docs.select("day")), corpus, "2024-01-28T06")
+    assert sql_over_days(spark, corpus, "SELECT count(*) AS n FROM documents").first().n == 0
+
+
+def test_ranges_that_became_empty_or_moved(spark, tmp_path):
+    corpus = Corpus(str(tmp_path))
+    columns = "url string, date string, window_start string, window_end string"
+    frame = lambda *rows: spark.createDataFrame(list(rows), columns)
+    spans = lambda *rows: spark.createDataFrame(list(rows), "start string, end string")
+    write_ranges(frame(("u1", "2024-01-01", "2024-01-01", "2024-01-07"), ("u2", "2024-01-05", "2024-01-01", "2024-01-07"), ("u3", "2024-01-09", "2024-01-08", "2024-01-14")), corpus, "1")
+    assert {r.url for r in read_ranges(spark, corpus).collect()} == {"u1", "u2", "u3"}
+    # Shifted by a day: the day before the new windows keeps its documents, and nothing is doubled.
+    write_ranges(frame(("u2", "2024-01-05", "2024-01-02", "2024-01-08")), corpus, "2", spans(("2024-01-02", "2024-01-08"), ("2024-01-09", "2024-01-15")))
+    assert sorted(r.url for r in read_ranges(spark, corpus).collect()) == ["u1", "u2"]
+
+
+def test_a_stream_row_keeps_the_text_of_a_mined_day(spark, tmp_path):
+    corpus = Corpus(str(tmp_path))
+    mined = _docs(spark, ("u1", "d", "eng", "one", "2024-01-01"), ("u2", "d", "eng", "two", "2024-01-01")).withColumn("match_x", F.lit(True))
+    write_days(mined, planned_days(mined.select("day").distinct()), corpus, "1")
+    batch = _docs(spark, ("u2", "d", "eng", "", "2024-01-01"), ("u3", "d", "eng", "", "2024-01-01")).drop("text").withColumn("title", F.lit("t"))
+    merge_days(batch, corpus, "stream-1")
+    got = {(r.url, r.text, r.match_x, r.title) for r in read_days(spark, corpus).collect()}
+    assert got == {("u1", "one", True, None), ("u2", "two", True, "t"), ("u3", None, None, "t")}
+
+
+def test_an_interrupted_publish_is_done_again(spark, tmp_path, monkeypatch):
+    docs = _docs(spark, ("u1", "d", "eng", "x", "2024-01-01")).withColumn("year", F.lit("2024"))
+    target, digests = str(tmp_path / "tree"), str(tmp_path / "digests")
+    publish_changes(docs, target, digests, "1")
+    changed = docs.withColumn("text", F.lit("new"))
+    # The run dies while it writes the data: its target is a file.
+    (tmp_path / "blocked").write_text("")
+    with pytest.raises(Exception):
+        publish_changes(changed, str(tmp_path / "blocked"), digests, "2")
+    assert [r.status for r in publish_changes(changed, target, digests, "3").collect()] == ["changed"]
+    assert [r.text for r in spark.read.parquet(target).collect()] == ["new"]
+
+
+def test_an_unknown_store_is_an_error_and_a_broken_file_is_not(spark, tmp_path):
+    (tmp_path / "bad.parquet").write_bytes(b"no parquet at all")
+    paths = spark.createDataFrame([(f"file://{tmp_path}/bad.parquet",)], "path string")
+    assert [r.num_rows for r in with_row_counts(paths).collect()] == [None]
+    with pytest.raises(Exception):
+        with_row_counts(spark.createDataFrame([("nowhere9://b/x.parquet",)], "path string")).collect()
 
 
 def test_a_day_with_most_rows_is_split_over_files(spark, tmp_path):
@@ -106,7 +162,7 @@ def test_a_day_with_most_rows_is_split_over_files(spark, tmp_path):
         write_days(docs, planned_days(docs.select("day").distinct()), corpus, "1")
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
-    hot = [f for f in os.listdir(f"{corpus.files}/year=2024/day=2024-02-01/scope=all") if f.endswith(".parquet")]
+    hot = [f for _, _, names in os.walk(f"{corpus.files}/year=2024/day=2024-02-01/scope=all") for f in names if f.endswith(".parquet")]
     assert len(hot) > 1
     counts = {r.date: r.num_rows for r in scan_partitions(spark, corpus.files).collect()}
     assert counts["2024-02-01"] == 40_000 and sum(counts.values()) == 60_000
@@ -188,7 +244,7 @@ def test_lookback_then_rerun_then_backfill(spark, tmp_path):
 
     # The written files carry the keyword column and can be queried as they are.
     assert "match_fish" in read_documents(spark, corpus.files).columns
-    assert sql_over_files(spark, corpus.files, "SELECT count(*) AS n FROM documents WHERE match_fish").first().n == 5
+    assert sql_over_days(spark, corpus, "SELECT count(*) AS n FROM documents WHERE match_fish").first().n == 5
     assert scope_of("ENG") == "eng" and os.path.isdir(f"{corpus.files}/year=2024/day=2024-01-05/scope=eng")
 
 
@@ -221,11 +277,6 @@ def test_merging_twice_changes_nothing_and_newer_rows_win(spark, tmp_path):
         assert got == {("u1", "new", "2024-01-01"), ("u2", "kept", "2024-01-01"), ("u3", "x", "2024-01-02")}
 
 
-def test_spread_leaves_a_scan_with_enough_partitions_alone(spark):
-    wide, narrow = spark.range(0, 100, 1, 16), spark.range(0, 100, 1, 1)
-    assert spread(wide, "id") is wide
-    assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-
 
 def test_parameters():
     assert MineParams(today=TODAY, days=3).total_days == 3
