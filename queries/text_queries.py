@@ -85,6 +85,16 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_payloads(payloads).select("page_id", "text").filter("text IS NOT NULL")
 
 
+def html_hard_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's id inside Latin-1 markup with comment marks in a script, quoted brackets and a script never closed."""
+    before = '<meta charset="iso-8859-1"><script>if(x<!--y){}</script><p>kept \u00e9 '
+    after = """</p><!-- <b>c</b> --><a title="a>b" alt='>'> it's</a><i x=o'k>!</i><style>p>q{}</STYLE ><script>never "closed"""
+    pages = table(spark, sf_dir, "pages")
+    html = F.encode(F.concat(F.lit(before), F.col("page_id").cast("string"), F.lit(after)), "ISO-8859-1")
+    payloads = pages.select("page_id", F.lit("html").alias("format"), html.alias("content"))
+    return extract_payloads(payloads).select("page_id", "text")
+
+
 def _as_docx(text: str) -> bytes:
     paragraphs = "".join(f"<w:p><w:r><w:t>{escape(line)}</w:t></w:r></w:p>" for line in text.split("\n"))
     namespace = "http://schemas.openxmlformats.org/wordprocessingml/2006/main"
@@ -209,6 +219,7 @@ QUERIES = {
             WHERE regexp_matches(text, '[^{STRIP_WS}]')""",
         "S8 T2 T4 F5",
     ),
+    "html_hard_cases": Query(html_hard_cases, "SELECT page_id, 'kept \u00e9 ' || page_id || ' it''s!' AS text FROM pages", "T2"),
     "docx_text": Query(
         docx_text,
         rf"""SELECT doc_id, CASE WHEN text <> '' THEN text END AS text, CASE WHEN text = '' THEN 'blank text' END AS error
