@@ -29,7 +29,9 @@ STEMS = (4, 5, 6, 7, 8)
 class ToxicityParams:
     """``most_positive``, ``most_unlabelled``: rows of the training sample, the least by a hash of the id.
 
-    ``contrast``: standard errors by which a word's share of P must differ from that of U to count.
+    ``contrasts``: standard errors by which a word's share of P must differ from that of U to count, of
+    which the one with the least loss on labelled rows kept out of training is taken;
+    ``lift``: the least ratio of the two. Toxic documents that are merely longer have more of all words.
     ``folds``, ``held_out``: rows whose id falls in that fold are never learned from.
     """
 
@@ -37,7 +39,8 @@ class ToxicityParams:
     most_unlabelled: int = 6000
     folds: int = 4
     held_out: int = 2
-    contrast: float = 4.0
+    contrasts: tuple[float, ...] = (4.0, 6.0, 9.0, 13.0)
+    lift: float = 2.5
     cut: float = 0.3
     steps: int = 160
     rate: float = 0.08
@@ -87,7 +90,7 @@ def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> list:
     free = docs.where(learn).select("doc_id").distinct().orderBy(*first).limit(params.most_unlabelled)
     chosen = parts[0].unionByName(parts[1]).unionByName(free.select("doc_id", F.lit(None).cast("int").alias("toxic"), F.lit(True).alias("free")))
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.max("free").alias("free"))
-    schema = pa.schema([("toxic", pa.int32()), ("free", pa.bool_()), ("features", pa.binary())])
+    schema = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("free", pa.bool_()), ("features", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,10 +99,11 @@ def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> list:
                 row, feature = features(part.column("text"))
                 borders = np.searchsorted(row, np.arange(len(part) + 1))
                 blobs = [feature[a:b].astype(np.int32).tobytes() for a, b in zip(borders[:-1], borders[1:])]
-                yield pa.record_batch([part.column("toxic"), part.column("free"), pa.array(blobs, pa.binary())], schema=schema)
+                yield pa.record_batch([part.column("doc_id"), part.column("toxic"), part.column("free"), pa.array(blobs, pa.binary())], schema=schema)
 
-    joined = docs.join(chosen, "doc_id").select("toxic", "free", "text")
-    return joined.mapInArrow(run, "toxic int, free boolean, features binary").collect()
+    joined = docs.join(chosen, "doc_id").select("doc_id", "toxic", "free", "text")
+    rows = joined.mapInArrow(run, "doc_id long, toxic int, free boolean, features binary").collect()
+    return sorted(rows, key=lambda r: (r.doc_id, r.features))
 
 
 def fit(sample: list, params: ToxicityParams) -> ToxicityModel:
@@ -107,6 +111,25 @@ def fit(sample: list, params: ToxicityParams) -> ToxicityModel:
 
     Without a confirmed toxic row every score is that of the smallest prior.
     """
+    known = [i for i, r in enumerate(sample) if r.toxic is not None]
+    # Every fourth labelled row of each label is kept out while the contrast is chosen.
+    kept_out = {i for y in (0, 1) for i in [i for i in known if sample[i].toxic == y][::4]}
+    rest = [r for i, r in enumerate(sample) if i not in kept_out]
+    check = [sample[i] for i in sorted(kept_out)]
+
+    def loss(contrast: float) -> float:
+        model = _fit(rest, contrast, params)
+        total = 0.0
+        for r in check:
+            p = float(model.scores(np.array([model.weights[np.frombuffer(r.features, np.int32)].sum() + model.bias]))[0])
+            total -= np.log(max(1e-6, p if r.toxic == 1 else 1 - p))
+        return total
+
+    best = min(params.contrasts, key=loss) if any(sample[i].toxic == 1 for i in known) else params.contrasts[0]
+    return _fit(sample, best, params)
+
+
+def _fit(sample: list, contrast: float, params: ToxicityParams) -> ToxicityModel:
     size = 1 << FEATURE_BITS
     blobs = [np.frombuffer(r.features, np.int32) for r in sample]
     known = [i for i, r in enumerate(sample) if r.toxic is not None]
@@ -119,7 +142,9 @@ def fit(sample: list, params: ToxicityParams) -> ToxicityModel:
     # Words that stand as often in toxic as in any text only add noise to long documents.
     pooled = (in_p + in_u) / (len(positive) + len(unlabelled))
     error = np.sqrt(pooled * (1 - pooled) * (1 / len(positive) + 1 / len(unlabelled))) + 1e-12
-    kept = (in_p >= 2) & (np.abs(in_p / len(positive) - in_u / len(unlabelled)) >= params.contrast * error)
+    share_p, share_u = in_p / len(positive), in_u / len(unlabelled)
+    lifted = (share_p >= params.lift * share_u) | (share_u >= params.lift * share_p)
+    kept = (in_p >= 2) & lifted & (np.abs(share_p - share_u) >= contrast * error)
     column = np.cumsum(kept) - 1
     width = int(kept.sum())
 
@@ -157,24 +182,32 @@ def fit(sample: list, params: ToxicityParams) -> ToxicityModel:
 
 
 def _calibrate(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of the logistic curve from margin to probability, by Newton's method.
+    """Slope and offset of the logistic curve from margin to probability, by damped Newton steps.
 
     Targets are smoothed, so separable rows give finite values.
     """
     n_1, n_0 = toxic.sum(), len(toxic) - toxic.sum()
     target = np.where(toxic == 1, (n_1 + 1) / (n_1 + 2), 1 / (n_0 + 2))
-    a, c = 1.0, 0.0
-    for _ in range(50):
-        q = 1 / (1 + np.exp(-np.clip(a * margin + c, -500, 500)))
-        weight = q * (1 - q) + 1e-9
-        ga, gc = ((q - target) * margin).sum() + 1e-3 * (a - 1), (q - target).sum()
-        haa, hac, hcc = (weight * margin**2).sum() + 1e-3, (weight * margin).sum(), weight.sum() + 1e-6
-        det = haa * hcc - hac * hac
-        if det <= 1e-12:
+    centre, width = margin.mean(), margin.std() + 1e-6
+    x = np.stack([(margin - centre) / width, np.ones(len(margin))], 1)
+
+    def loss(v: np.ndarray) -> float:
+        z = x @ v
+        return float((np.logaddexp(0, z) - target * z).sum() + 1e-3 * v @ v)
+
+    v = np.array([1.0, np.log((n_1 + 1) / (n_0 + 1))])
+    for _ in range(100):
+        q = 1 / (1 + np.exp(-np.clip(x @ v, -500, 500)))
+        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 2e-3 * np.eye(2), x.T @ (q - target) + 2e-3 * v)
+        size = 1.0
+        while loss(v - size * step) > loss(v) and size > 1e-6:
+            size /= 2
+        v = v - size * step
+        if np.abs(size * step).max() < 1e-8:
             break
-        da, dc = (hcc * ga - hac * gc) / det, (haa * gc - hac * ga) / det
-        a, c = a - np.clip(da, -1, 1), c - np.clip(dc, -1, 1)
-    return (float(a), float(c)) if a > 0 else (1.0, 0.0)
+    if v[0] <= 0:
+        return 0.0, float(np.log((n_1 + 1) / (n_0 + 1)))
+    return float(v[0] / width), float(v[1] - v[0] * centre / width)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
