@@ -12,7 +12,7 @@ from docquarry.llm.common import documents
 from docquarry.llm.decontaminate import contamination
 from docquarry.llm.hidden_markov import markov_scores
 from docquarry.llm.language_id import identify_language
-from docquarry.llm.license_scan import scan_licenses
+from docquarry.llm.license_scan import NOTICES, PHRASES, scan_licenses
 from docquarry.llm.ngram_join import ngram_join
 from docquarry.llm.packing import pack
 from docquarry.llm.secret_scan import KINDS, scan_secrets
@@ -101,7 +101,49 @@ words AS (
     FROM documents
 )"""
 
+_TEMPLATES = ", ".join(f"({i}, '{t.label}', {t.exact}, string_split('{t.text}', ' '))" for i, t in enumerate(PHRASES + NOTICES))
+
 SQL: dict[str, str] = {
+    "op5_license_scan": rf"""
+WITH texts AS (
+    SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM documents
+),
+templates(template, label, exact, w) AS (VALUES {_TEMPLATES}),
+known AS (SELECT template, label, exact, len(w) - 1 AS n_pairs, i AS place, w[i + 1] AS a, w[i + 2] AS b FROM templates, unnest(range(0, len(w) - 1)) u(i)),
+every AS (SELECT doc_id, i AS pos, w[i + 1] AS a, w[i + 2] AS b FROM texts, unnest(range(0, len(w) - 1)) u(i)),
+votes AS (SELECT DISTINCT doc_id, template, label, exact, n_pairs, pos - place AS diagonal, pos, place FROM every JOIN known USING (a, b)),
+lines AS (
+    SELECT doc_id, template, label, exact, n_pairs, diagonal, min(pos) AS f, max(pos) AS l, list(DISTINCT place) AS places
+    FROM votes GROUP BY ALL
+),
+placed AS (
+    SELECT *, max(l) OVER (PARTITION BY doc_id, template ORDER BY f, diagonal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
+        lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY f, diagonal) AS beside
+    FROM lines WHERE NOT exact
+),
+numbered AS (
+    SELECT *, sum(CASE WHEN before IS NULL OR f - before > 4 OR abs(diagonal - beside) > 3 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY doc_id, template ORDER BY f, diagonal) AS span
+    FROM placed
+),
+merged AS (
+    SELECT doc_id, template, label, n_pairs, span, min(f) AS f, max(l) AS l, CAST(len(list_distinct(flatten(list(places)))) AS double) / n_pairs AS covered
+    FROM numbered GROUP BY doc_id, template, label, n_pairs, span
+),
+finds AS (
+    SELECT doc_id, label, true AS exact, f, 1.0 AS covered FROM lines WHERE exact AND len(places) = n_pairs
+    UNION ALL SELECT doc_id, label, false, f, covered FROM merged WHERE covered >= 0.7 AND l - f < 2 * n_pairs
+),
+found AS (
+    SELECT doc_id, count(*) FILTER (exact) AS n_base, min(f) FILTER (exact) AS first_word, max(f) FILTER (exact) AS last_word,
+        string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(covered) AS score
+    FROM finds GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+    coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS double) AS score
+FROM texts LEFT JOIN found USING (doc_id)""",
     "op1_ngram_join": rf"""
 WITH RECURSIVE {_WORDS},
 sets AS (
