@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docquarry.llm.common import bounded_batches, fold
+from docquarry.llm.common import Scratch, bounded_batches, fold
 from docquarry.llm.words import LOWER, WORDLIKE, mix, span_hashes, spans, text_bytes, text_slices
 
 FEATURE_BITS = 22
@@ -80,11 +80,13 @@ def features(column: pa.Array, useful: np.ndarray | None = None) -> tuple[np.nda
     return both >> FEATURE_BITS, both & ((1 << FEATURE_BITS) - 1)
 
 
-def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> list:
-    """(toxic, unlabelled, features) of the training sample; its size is bounded by ``params``."""
+def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> tuple[list, tuple[int, int]]:
+    """(toxic, unlabelled, features) of the training sample, whose size is bounded by ``params``, and the
+    number of ids of either label (0, 1) it was drawn from."""
     learn = F.coalesce(fold("doc_id", params.folds) != params.held_out, F.lit(False))
     marked = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    marked = marked.where(learn).join(docs.select("doc_id"), "doc_id", "left_semi")
+    marked = Scratch(docs.sparkSession, "toxicity").keep(marked.where(learn).join(docs.select("doc_id"), "doc_id", "left_semi"))
+    counts = dict(marked.groupBy("toxic").count().collect())
     first = (F.xxhash64("doc_id"), "doc_id")
     parts = [marked.where(F.col("toxic") == y).orderBy(*first).limit(params.most_positive).select("doc_id", "toxic", F.lit(False).alias("free")) for y in (1, 0)]
     free = docs.where(learn).select("doc_id").distinct().orderBy(*first).limit(params.most_unlabelled)
@@ -103,39 +105,41 @@ def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> list:
 
     joined = docs.join(chosen, "doc_id").select("doc_id", "toxic", "free", "text")
     rows = joined.mapInArrow(run, "doc_id long, toxic int, free boolean, features binary").collect()
-    return sorted(rows, key=lambda r: (r.doc_id, r.features))
+    return sorted(rows, key=lambda r: (r.doc_id, r.features)), (counts.get(0, 0), counts.get(1, 0))
 
 
-def fit(sample: list, params: ToxicityParams) -> ToxicityModel:
+def fit(sample: list, counts: tuple[int, int], params: ToxicityParams) -> ToxicityModel:
     """Fit to rows (toxic or null, free, features). ``free`` rows make up the unlabelled text.
 
-    Without a confirmed toxic row every score is that of the smallest prior.
+    ``counts``: the labels 0 and 1 the labelled rows were drawn from. They give the prior, and what a
+    sampled row of either label counts for in the calibration and the choice of the contrast. Without a confirmed toxic row every score is that of the smallest prior.
     """
     known = [i for i, r in enumerate(sample) if r.toxic is not None]
     # Every fourth labelled row of each label is kept out while the contrast is chosen.
     kept_out = {i for y in (0, 1) for i in [i for i in known if sample[i].toxic == y][::4]}
     rest = [r for i, r in enumerate(sample) if i not in kept_out]
     check = [sample[i] for i in sorted(kept_out)]
+    stands_for = [counts[y] / max(1, sum(sample[i].toxic == y for i in known)) for y in (0, 1)]
+    prior = float(np.clip(counts[1] / max(1, sum(counts)), 1e-3, 0.9))
 
     def loss(contrast: float) -> float:
-        model = _fit(rest, contrast, params)
+        model = _fit(rest, contrast, prior, stands_for, params)
         total = 0.0
         for r in check:
             p = float(model.scores(np.array([model.weights[np.frombuffer(r.features, np.int32)].sum() + model.bias]))[0])
-            total -= np.log(max(1e-6, p if r.toxic == 1 else 1 - p))
+            total -= stands_for[r.toxic] * np.log(max(1e-6, p if r.toxic == 1 else 1 - p))
         return total
 
     best = min(params.contrasts, key=loss) if any(sample[i].toxic == 1 for i in known) else params.contrasts[0]
-    return _fit(sample, best, params)
+    return _fit(sample, best, prior, stands_for, params)
 
 
-def _fit(sample: list, contrast: float, params: ToxicityParams) -> ToxicityModel:
+def _fit(sample: list, contrast: float, prior: float, stands_for: list[float], params: ToxicityParams) -> ToxicityModel:
     size = 1 << FEATURE_BITS
     blobs = [np.frombuffer(r.features, np.int32) for r in sample]
     known = [i for i, r in enumerate(sample) if r.toxic is not None]
     positive = [blobs[i] for i in known if sample[i].toxic == 1]
     unlabelled = [blobs[i] for i, r in enumerate(sample) if r.free]
-    prior = float(np.clip(len(positive) / max(1, len(known)), 1e-3, 0.9))
     if not positive or not unlabelled:
         return ToxicityModel(np.zeros(size, np.float32), 0.0, 1.0, float(np.log(prior / (1 - prior)) if positive else -7.0))
     in_p, in_u = (np.bincount(np.concatenate(rows), minlength=size) for rows in (positive, unlabelled))
@@ -175,30 +179,32 @@ def _fit(sample: list, contrast: float, params: ToxicityParams) -> ToxicityModel
         fix = np.sqrt(1 - 0.99**step) / (1 - 0.9**step) * params.rate
         w -= fix * moment / (np.sqrt(spread) + 1e-6)
         b -= fix * b_moment / (np.sqrt(b_spread) + 1e-6)
-    slope, offset = _calibrate(margins(matrix([blobs[i] for i in known])), np.array([sample[i].toxic for i in known], float))
+    slope, offset = _calibrate(margins(matrix([blobs[i] for i in known])), np.array([sample[i].toxic for i in known], float), stands_for)
     weights = np.zeros(size, np.float32)
     weights[kept] = w
     return ToxicityModel(weights, b, slope, offset)
 
 
-def _calibrate(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+def _calibrate(margin: np.ndarray, toxic: np.ndarray, stands_for: list[float]) -> tuple[float, float]:
     """Slope and offset of the logistic curve from margin to probability, by damped Newton steps.
 
-    Targets are smoothed, so separable rows give finite values.
+    A row of label y counts ``stands_for[y]`` times. Targets are smoothed, so separable rows give finite values.
     """
     n_1, n_0 = toxic.sum(), len(toxic) - toxic.sum()
     target = np.where(toxic == 1, (n_1 + 1) / (n_1 + 2), 1 / (n_0 + 2))
+    times = np.where(toxic == 1, stands_for[1], stands_for[0])
+    odds = float(np.log((n_1 * stands_for[1] + 1) / (n_0 * stands_for[0] + 1)))
     centre, width = margin.mean(), margin.std() + 1e-6
     x = np.stack([(margin - centre) / width, np.ones(len(margin))], 1)
 
     def loss(v: np.ndarray) -> float:
         z = x @ v
-        return float((np.logaddexp(0, z) - target * z).sum() + 1e-3 * v @ v)
+        return float((times * (np.logaddexp(0, z) - target * z)).sum() + 1e-3 * v @ v)
 
-    v = np.array([1.0, np.log((n_1 + 1) / (n_0 + 1))])
+    v = np.array([1.0, odds])
     for _ in range(100):
         q = 1 / (1 + np.exp(-np.clip(x @ v, -500, 500)))
-        step = np.linalg.solve((x * (q * (1 - q))[:, None]).T @ x + 2e-3 * np.eye(2), x.T @ (q - target) + 2e-3 * v)
+        step = np.linalg.solve((x * (times * q * (1 - q))[:, None]).T @ x + 2e-3 * np.eye(2), x.T @ (times * (q - target)) + 2e-3 * v)
         size = 1.0
         while loss(v - size * step) > loss(v) and size > 1e-6:
             size /= 2
@@ -206,7 +212,7 @@ def _calibrate(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
         if np.abs(size * step).max() < 1e-8:
             break
     if v[0] <= 0:
-        return 0.0, float(np.log((n_1 + 1) / (n_0 + 1)))
+        return 0.0, odds
     return float(v[0] / width), float(v[1] - v[0] * centre / width)
 
 
@@ -224,7 +230,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxici
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
-    model = docs.sparkSession.sparkContext.broadcast(fit(_sample(docs, labels, params), params))
+    model = docs.sparkSession.sparkContext.broadcast(fit(*_sample(docs, labels, params), params))
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
