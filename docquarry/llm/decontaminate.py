@@ -6,6 +6,10 @@ part), and the Nystroem form of that product gives its leading eigenvectors. Eve
 document is projected onto them and compared by cosine with the benchmark items of like length.
 Candidates whose words in common weigh enough are then checked on their words: the longest common subsequence with the item must cover
 most of it, or, for a paraphrase, half of it and hold the item's answer.
+
+Edits may move a window away from its item in the latent space, so the cosine alone does not decide
+what is checked. A region that passes the check must also hold enough of the item's rare words: an
+index of these (``_Probes``) gives every other region that can pass, whatever its cosine.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ SCALES = (8, 16, 32, 64, 128)
 
 @dataclass(frozen=True)
 class ContaminationParams:
-    """``cosine``: of candidates. ``copied``: share of an item's words in common order that is a copy.
+    """``cosine``: of candidates of the latent space. ``copied``: share of an item's words in common order that is a copy.
 
     ``paraphrased``: the share that is enough together with the answer, the ``answer`` column if
     there is one, else the item's ``rarest`` rarest words. ``block``: items a pass compares with.
@@ -131,6 +135,24 @@ def common_subsequence(a: list[int], b: list[int]) -> int:
     return len(a) - row.bit_count()
 
 
+@dataclass(frozen=True)
+class _Probes:
+    """Sets of words, ``need`` of which stand within ``reach`` words wherever the check of ``item`` passes.
+
+    A region with at least k of an item's n words in order lacks n - k of its places at most, so of
+    any m places it has m - (n - k). The probe for copies is the rarer half or so of the places, that
+    for paraphrases the answer.
+    """
+
+    #: Sorted words, and the sets each is in: sets[first[i] : first[i + 1]].
+    words: np.ndarray
+    first: np.ndarray
+    sets: np.ndarray
+    item: np.ndarray
+    need: np.ndarray
+    reach: np.ndarray
+
+
 @dataclass(frozen=True)
 class _Items:
     ids: list[int]
@@ -140,16 +162,96 @@ class _Items:
     sizes: np.ndarray
     weights: np.ndarray
     has: np.ndarray
+    #: The scales of each item's parts.
+    scales: list[set[int]]
     #: Per scale: the item of each query vector, and the vectors.
     queries: dict[int, tuple[np.ndarray, np.ndarray]]
+    probes: _Probes
 
 
 def _scale(n: int) -> int:
     return min(SCALES, key=lambda s: abs(np.log2(max(1, n) / s)))
 
 
+def _margin(n: int) -> int:
+    """Words before and after a window that are checked with it."""
+    return max(8, n // 2) if n <= 192 else n
+
+
+def _probes(words: list[list[int]], answers: list[list[int]], scales: list[set[int]], idf: np.ndarray, params: ContaminationParams) -> _Probes:
+    pairs, item, need, reach = set(), [], [], []
+    for i, of_item in enumerate(words):
+        n = len(of_item)
+        hashes = np.array(of_item, np.uint64)
+        least = max(1, int(np.ceil(params.copied * n - 1e-9)))
+        spare = max(1, least // 3)
+        rarest = hashes[np.argsort(-idf[_terms(hashes)], kind="stable")][: n - least + spare]
+        for probe, enough in ((rarest.tolist(), spare), (answers[i], len(set(answers[i])))):
+            pairs |= {(word, len(item)) for word in probe}
+            item.append(i)
+            need.append(enough)
+            reach.append(max(scales[i]) + 2 * _margin(n))
+    ordered = sorted(pairs)
+    unique, first = np.unique(np.array([w for w, _ in ordered], np.uint64), return_index=True)
+    return _Probes(unique, np.append(first, len(ordered)), np.array([q for _, q in ordered], np.int64), *(np.array(x, np.int64) for x in (item, need, reach)))
+
+
+def _probed(hashes: np.ndarray, borders: np.ndarray, items: _Items) -> tuple[np.ndarray, ...]:
+    """(row, item, first, last): spans of places of a text that hold enough words of a probe of an item."""
+    probes = items.probes
+    at = np.minimum(np.searchsorted(probes.words, hashes), max(0, len(probes.words) - 1))
+    place = np.flatnonzero(probes.words[at] == hashes) if len(probes.words) else np.empty(0, np.int64)
+    at = at[place]
+    times = probes.first[at + 1] - probes.first[at]
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    of, place = probes.sets[np.repeat(probes.first[at], times) + nth], np.repeat(place, times)
+    order = np.argsort(of, kind="stable")
+    of, place = of[order], place[order]
+    start = np.arange(len(of))
+    stop = start + probes.need[of] - 1
+    start, stop = start[stop < len(of)], stop[stop < len(of)]
+    row = np.searchsorted(borders, place, side="right") - 1
+    good = (of[start] == of[stop]) & (row[start] == row[stop]) & (place[stop] - place[start] < probes.reach[of[start]])
+    start, stop = start[good], stop[good]
+    return row[start], probes.item[of[start]], place[start], place[stop]
+
+
+def _passes(item: list[int], answer: list[int], region: list[int], params: ContaminationParams) -> tuple[bool, float, bool]:
+    """(whether the check passes, share, answered)."""
+    share, answered = common_subsequence(item, region) / len(item), set(answer) <= set(region)
+    return share >= params.copied or (share >= params.paraphrased and answered), share, answered
+
+
+def _windows_to_check(hashes: np.ndarray, borders: np.ndarray, items: _Items, params: ContaminationParams) -> dict[int, list[tuple[int, int, int, int]]]:
+    """Per scale: (row, item, first, last) of runs of windows that can pass by the probes."""
+    runs: dict[tuple[int, int, int], list[tuple[int, int]]] = {}
+    for row, item, lo, hi in zip(*(x.tolist() for x in _probed(hashes, borders, items))):
+        margin, begin, size = _margin(len(items.words[item])), int(borders[row]), int(borders[row + 1] - borders[row])
+        for scale in items.scales[item]:
+            step = scale // 4
+            a = max(0, (hi - begin - scale - margin) // step + 1)
+            b = min((lo - begin + margin) // step, max(0, -(-size // step) - 4))
+            if a <= b:
+                runs.setdefault((row, item, scale), []).append((a, b))
+    out: dict[int, list[tuple[int, int, int, int]]] = {}
+    for (row, item, scale), spans_ in runs.items():
+        merged: list[list[int]] = []
+        for a, b in sorted(spans_):
+            if merged and a <= merged[-1][1] + 1:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        margin, begin, end = _margin(len(items.words[item])), int(borders[row]), int(borders[row + 1])
+        for a, b in merged:
+            # What the whole run does not hold none of its windows does.
+            whole = hashes[max(begin, begin + a * (scale // 4) - margin) : min(end, begin + b * (scale // 4) + scale + margin)].tolist()
+            if _passes(items.words[item], items.answers[item], whole, params)[0]:
+                out.setdefault(scale, []).append((row, item, a, b))
+    return out
+
+
 def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: ContaminationParams) -> _Items:
-    ids, words, answers, vectors = [], [], [], {}
+    ids, words, answers, vectors, scales = [], [], [], {}, []
     for row in rows:
         hashes, borders = _word_hashes(pa.array([row.text, row.answer], pa.string()))
         item, answer = hashes[: borders[1]], hashes[borders[1] :]
@@ -160,6 +262,7 @@ def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: Contamin
             unique, first = np.unique(item, return_index=True)
             answer = unique[np.lexsort((unique, -idf[terms[first]]))[: params.rarest]]
         n_parts = -(-len(item) // (SCALES[-1] + SCALES[-1] // 2))
+        scales.append({_scale(len(part)) for part in np.array_split(terms, n_parts)})
         for part in np.array_split(terms, n_parts):
             vector = idf[part] @ projection[part]
             vectors.setdefault(_scale(len(part)), []).append((len(ids), vector / max(1e-9, np.linalg.norm(vector))))
@@ -172,7 +275,8 @@ def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: Contamin
         terms = _terms(np.array(item, np.uint64))
         has[i, terms] = True
         weights[i] = idf[terms].sum()
-    return _Items(ids, words, answers, np.array([len(w) for w in words]), weights, has, {s: (np.array([i for i, _ in v]), np.array([x for _, x in v], np.float32)) for s, v in vectors.items()})
+    queries = {s: (np.array([i for i, _ in v]), np.array([x for _, x in v], np.float32)) for s, v in vectors.items()}
+    return _Items(ids, words, answers, np.array([len(w) for w in words]), weights, has, scales, queries, _probes(words, answers, scales, idf, params))
 
 
 def _overlaps(terms: np.ndarray, idf: np.ndarray, items: _Items, starts: np.ndarray, ends: np.ndarray, of: np.ndarray, scale: int, params: ContaminationParams) -> np.ndarray:
@@ -202,6 +306,7 @@ def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.nda
         sums, step = sums[0::2] + sums[1::2], 2 * step
         of_step[step] = sums
     checked: dict[tuple[int, int], list[tuple]] = {}
+    probed = _windows_to_check(hashes, borders, items, params)
     for scale, (owner, queries) in items.queries.items():
         step = scale // 4
         sums = of_step[step]
@@ -230,17 +335,22 @@ def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.nda
             for at, q, k in zip(at[fits], q[fits], k[fits]):
                 row = int(np.searchsorted(borders, starts[k], side="right")) - 1
                 item = int(owner[q])
-                n = len(items.words[item])
-                margin = max(8, n // 2) if n <= 192 else n
+                margin = _margin(len(items.words[item]))
                 a, b = max(int(borders[row]), int(starts[k]) - margin), min(int(ends[k]), int(starts[k]) + scale + margin)
                 checked.setdefault((row, item), []).append((float(near[at, q]), a, b))
+        for row, item, a, b in probed.get(scale, ()):
+            margin, begin, end = _margin(len(items.words[item])), int(borders[row]), int(borders[row + 1])
+            places = np.searchsorted(use, first[row] + np.arange(a, b + 1))
+            cosines = (window[places] @ queries[owner == item].T).max(1)
+            for k, cosine in zip(range(a, b + 1), cosines.tolist()):
+                at = begin + k * step
+                checked.setdefault((row, item), []).append((cosine, max(begin, at - margin), min(end, at + scale + margin)))
     for (row, item), regions in checked.items():
         best = None
-        for cosine, a, b in sorted(regions, reverse=True):
+        for cosine, a, b in sorted(set(regions), reverse=True):
             region = hashes[a:b].tolist()
-            share = common_subsequence(items.words[item], region) / len(items.words[item])
-            answered = set(items.answers[item]) <= set(region)
-            if share >= params.copied or (share >= params.paraphrased and answered):
+            passes, share, answered = _passes(items.words[item], items.answers[item], region, params)
+            if passes:
                 best = max(best or (-1.0,), (share, cosine, answered, a - int(borders[row]), b - int(borders[row])))
         if best:
             share, cosine, answered, a, b = best
