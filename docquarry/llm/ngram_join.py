@@ -18,7 +18,8 @@ sketches, then verified on their whole sets.
 
 Equal sets are one node. In a bucket of frequent tokens every node first meets one pivot, and only
 nodes that the links found so far leave in different components meet each other. So a group of
-copies costs a row for each, not for each pair.
+copies costs a row for each, not for each pair. The links inside such a component are counted
+afterwards: its sets meet block by block, and each pair of blocks returns counts, not pairs.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ FREQUENT = 16
 COMBINED = 400
 TOGETHER = 64
 SKETCH_WORDS = 8
+#: Sets and tokens of a block in which the links of a component are counted.
+BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 19
 
 
 def _needed(n, num: int, den: int):
@@ -262,13 +265,66 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int, s
     return scratch.keep(found.distinct())
 
 
+def _links_of_blocks(left: list[tuple[int, np.ndarray]], right: list[tuple[int, np.ndarray]] | None, num: int, den: int) -> dict[int, int]:
+    """Links of each node between two blocks of (node, tokens), or inside one; a node may have several sets."""
+    both = left + (right or [])
+    nodes, of = np.unique(np.array([node for node, _ in both], np.int64), return_inverse=True)
+    sizes = np.array([len(tokens) for _, tokens in both])
+    _, column, times = np.unique(np.concatenate([tokens for _, tokens in both]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(both)), sizes)
+    # A token of one set only is in no intersection.
+    row, column = row[times[column] > 1], column[times[column] > 1]
+    column = np.unique(column, return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    cut = len(left)
+    other = slice(cut, None) if right is not None else slice(None)
+    common = np.zeros((cut, len(both) - cut if right is not None else cut), np.float32)
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        a, b = np.searchsorted(column, (lo, lo + 4096))
+        some = np.zeros((len(both), 4096), np.float32)
+        some[row[a:b], column[a:b] - lo] = 1
+        common += some[:cut] @ some[other].T
+    common = common.astype(np.int64)
+    x, y = np.nonzero((common > 0) & (den * common >= num * (sizes[:cut, None] + sizes[other][None, :] - common)))
+    a, b = of[:cut][x], of[other][y]
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1)[a != b], axis=0)
+    degree = np.bincount(pairs.reshape(-1), minlength=len(nodes))
+    return {int(nodes[i]): int(degree[i]) for i in np.flatnonzero(degree)}
+
+
+def links_inside(members: DataFrame, docs: DataFrame, size: int, num: int, den: int, scratch: Scratch) -> DataFrame:
+    """(class_id, n_links) of all links between ``members`` (doc_id, root, n) of one component each.
+
+    Every pair of sets is compared, in blocks of bounded size that are dealt by pairs of blocks.
+    """
+    blocks = members.groupBy("root").agg(
+        F.ceil(F.greatest(F.count("*") / F.lit(BLOCK_SETS), F.sum("n") / F.lit(BLOCK_TOKENS), F.lit(1.0))).cast("int").alias("blocks")
+    )
+    placed = scratch.keep(members.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")).drop("n"))
+    sets = whole_sets(docs, placed.select("doc_id"), size).join(placed, "doc_id")
+    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.select("doc_id", "tokens", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    schema = pa.schema([("class_id", pa.int64()), ("n_links", pa.int64())])
+
+    def count(table: pa.Table) -> pa.Table:
+        low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
+        sides: dict[int, list] = {low: [], high: []}
+        for node, block, tokens in zip(table.column("doc_id").to_pylist(), table.column("block").to_pylist(), table.column("tokens").to_pylist()):
+            sides[block].append((node, np.frombuffer(tokens, np.uint64)))
+        found = {} if not sides[low] or not sides[high] else _links_of_blocks(sides[low], sides[high] if high > low else None, num, den)
+        return pa.table([pa.array(list(found), pa.int64()), pa.array(list(found.values()), pa.int64())], schema=schema)
+
+    counted = met.groupBy("root", "low", "high").applyInArrow(count, "class_id long, n_links long")
+    return counted.groupBy("class_id").agg(F.sum("n_links").alias("n_links"))
+
+
 def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
     """Link documents whose shingle sets have a Jaccard similarity of ``num / den`` or more.
 
     One row per input row: ``doc_id``, ``n_shingles``, ``class_id`` (least doc_id with an equal set),
     ``n_links`` (links of its class to classes of other sets that were verified), ``component_id``
-    (least doc_id reachable by links). All links between different sets are found, except those
-    inside a component of a bucket of frequent tokens that other links have already joined.
+    (least doc_id reachable by links). All links between different sets are counted.
 
     Defined cases: a null or blank text has an empty set and is linked with nothing, so it is its
     own class and component. Fewer words than ``size`` are one shingle. Rows that repeat a doc_id
@@ -337,7 +393,13 @@ def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
     links = links.unionByName(verified(across, docs, size, num, den, scratch))
     roots = components(links, scratch)
 
+    # Two members of a bucket that were in one component before they met were not compared.
+    in_bucket = roots.join(buckets.select(F.col("doc_id").alias("node")).distinct(), "node", "left_semi").groupBy("root").agg(F.count("*").alias("hot"))
+    partly = roots.groupBy("root").agg(F.count("*").alias("together")).join(in_bucket, "root").where("together > 2 AND hot > 1").select("root")
+    lengths = firsts.groupBy(F.col("doc_id").alias("node")).agg(F.sum("n").alias("n"))
+    partly = scratch.keep(roots.join(partly, "root", "left_semi").join(lengths, "node").select(F.col("node").alias("doc_id"), "root", "n"))
     degree = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    degree = degree.join(partly.select(F.col("doc_id").alias("class_id")), "class_id", "left_anti").unionByName(links_inside(partly, docs, size, num, den, scratch))
     known = classes.join(degree, "class_id", "left").join(roots.withColumnRenamed("node", "class_id"), "class_id", "left")
     known = scratch.keep(known.select("n", "sig_a", "sig_b", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("root", "class_id").alias("component_id")))
     out = rows.select("doc_id", "n", "sig_a", "sig_b").join(known, ["n", "sig_a", "sig_b"], "left")
