@@ -18,43 +18,47 @@ from docquarry.llm.secret_scan import mask_secrets
 from docquarry.llm.toxicity import toxicity
 
 MARK = "[secret]"
+ROW = "_row"
+
+
+def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """``docs`` with a number for each row, written, so that it stays: ids may be null or repeat."""
+    return scratch.keep(docs.withColumn(ROW, F.monotonically_increasing_id()))
+
+
+def _without(rows: DataFrame, leave: DataFrame) -> DataFrame:
+    return rows.join(leave, ROW, "left_anti").drop(ROW)
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are predicted toxic go. A null id is judged by its text like any other row."""
+    """Rows whose text is predicted toxic go, whatever their id."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scratch = Scratch(spark, "pipeline-toxic")
-    scored = scratch.keep(toxicity(docs.select("doc_id", "text"), labels))
-    rejected = scored.where("predicted = 1").select("doc_id").distinct()
-    kept = docs.join(rejected.where("doc_id IS NOT NULL"), "doc_id", "left_anti")
-    if rejected.where("doc_id IS NULL").isEmpty():
-        return kept
-    # An id cannot tell rows without one apart, so if one of them is toxic, they all go.
-    return kept.where("doc_id IS NOT NULL")
+    rows = _numbered(docs, scratch)
+    leave = scratch.keep(toxicity(rows.select("doc_id", "text", ROW), labels, row=ROW).where("predicted = 1").select(ROW))
+    return _without(rows, leave)
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one document stays, the one with the least id; of rows that repeat an id, one.
+    """Of each group of near copies one row stays, the one with the least id, one without an id only if none has any.
 
-    Rows without an id belong to no group and stay.
+    Rows are compared by their texts alone: those that repeat an id with different texts all stay.
     """
     scratch = Scratch(spark, "pipeline-copies")
-    linked = scratch.keep(ngram_join(docs.select("doc_id", "text"), size=5, num=8, den=10))
-    leave = linked.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(leave, "doc_id", "left_anti")
-    repeated = scratch.keep(linked.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"))
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once)
+    rows = _numbered(docs, scratch)
+    linked = scratch.keep(ngram_join(rows.select(F.col(ROW).alias("doc_id"), "text"), size=5, num=8, den=10).select(F.col("doc_id").alias(ROW), "component_id"))
+    groups = linked.groupBy("component_id").count().where("count > 1").select("component_id")
+    members = scratch.keep(linked.join(groups, "component_id").join(rows.select(ROW, "doc_id"), ROW))
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
+    return _without(rows, scratch.keep(members.join(first, ROW, "left_anti").select(ROW)))
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Rows whose text holds a benchmark item go, whatever their id."""
     scratch = Scratch(spark, "pipeline-benchmark")
-    found = scratch.keep(contamination(docs.select("doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select("doc_id").distinct())
-    kept = docs.join(found, "doc_id", "left_anti")
-    return kept if found.where("doc_id IS NULL").isEmpty() else kept.where("doc_id IS NOT NULL")
+    rows = _numbered(docs, scratch)
+    found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return _without(rows, scratch.keep(found.select(F.col("doc_id").alias(ROW)).distinct()))
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -216,11 +216,12 @@ def _calibrate(margin: np.ndarray, toxic: np.ndarray, stands_for: list[float]) -
     return float(v[0] / width), float(v[1] - v[0] * centre / width)
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams(), row: str | None = None) -> DataFrame:
     """Score every whole text of ``docs`` (doc_id, text); learn from ``labels`` (doc_id, toxic).
 
     One row per input row: ``doc_id``, ``held_out``, ``score`` (0 to 1), ``predicted`` (score at
-    least ``params.cut``). Only the text enters a score.
+    least ``params.cut``). Only the text enters a score. ``row`` names a column of ``docs``, a long, that is
+    returned too.
 
     Defined cases: a null or empty text has no features and gets the score of the bias alone. A null
     doc_id is scored, never learned from, and not held out. Null labels are no labels; of several
@@ -228,10 +229,11 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxici
     columns are ignored.
     """
     bounded_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    kept = [row] if row else []
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic")
     model = docs.sparkSession.sparkContext.broadcast(fit(*_sample(docs, labels, params), params))
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), *((c, pa.int64()) for c in kept)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         useful = model.value.weights != 0
@@ -240,12 +242,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxici
                 part = batch.slice(lo, hi - lo)
                 row, feature = features(part.column("text"), useful)
                 margin = np.bincount(row, weights=model.value.weights[feature], minlength=len(part)) + model.value.bias
-                yield pa.record_batch([part.column("doc_id"), pa.array(model.value.scores(margin))], schema=schema)
+                yield pa.record_batch([part.column("doc_id"), pa.array(model.value.scores(margin)), *(part.column(c) for c in kept)], schema=schema)
 
-    scored = docs.mapInArrow(run, "doc_id long, score double")
+    scored = docs.mapInArrow(run, ", ".join(["doc_id long, score double", *(f"{c} long" for c in kept)]))
     return scored.select(
         "doc_id",
         F.coalesce(fold("doc_id", params.folds) == params.held_out, F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= params.cut).cast("int").alias("predicted"),
+        *kept,
     )
