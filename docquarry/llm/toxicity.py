@@ -144,12 +144,15 @@ def _fit(sample: list, contrast: float, prior: float, stands_for: list[float], p
         return ToxicityModel(np.zeros(size, np.float32), 0.0, 1.0, float(np.log(prior / (1 - prior)) if positive else -7.0))
     in_p, in_u = (np.bincount(np.concatenate(rows), minlength=size) for rows in (positive, unlabelled))
     # Words that stand as often in toxic as in any text only add noise to long documents.
+    some = np.flatnonzero(in_p >= 2)
+    in_p, in_u = in_p[some], in_u[some]
     pooled = (in_p + in_u) / (len(positive) + len(unlabelled))
     error = np.sqrt(pooled * (1 - pooled) * (1 / len(positive) + 1 / len(unlabelled))) + 1e-12
     share_p, share_u = in_p / len(positive), in_u / len(unlabelled)
     lifted = (share_p >= params.lift * share_u) | (share_u >= params.lift * share_p)
-    kept = (in_p >= 2) & lifted & (np.abs(share_p - share_u) >= contrast * error)
-    column = np.cumsum(kept) - 1
+    kept = np.zeros(size, bool)
+    kept[some[lifted & (np.abs(share_p - share_u) >= contrast * error)]] = True
+    column = np.cumsum(kept, dtype=np.int32) - 1
     width = int(kept.sum())
 
     def matrix(rows: list) -> tuple[np.ndarray, np.ndarray, int]:
