@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docquarry.llm.bit_planes import cluster_planes
 from docquarry.llm.common import documents
 from docquarry.llm.decontaminate import contamination
 from docquarry.llm.hidden_markov import markov_scores
@@ -16,8 +17,10 @@ from docquarry.llm.license_scan import NOTICES, PHRASES, scan_licenses
 from docquarry.llm.ngram_join import ngram_join
 from docquarry.llm.packing import pack
 from docquarry.llm.secret_scan import KINDS, scan_secrets
+from docquarry.llm.spelling_variants import spelling_variants
 from docquarry.llm.spot_signatures import fingerprint, likeness, spot_fingerprints
 from docquarry.llm.token_files import read_token_files, write_token_files
+from docquarry.llm.token_counts import count_tokens
 from docquarry.llm.toxicity import toxicity
 from docquarry.settings import shared_dir
 
@@ -81,6 +84,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents(spark, sf_dir, "doc_id", "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(documents(spark, sf_dir, "doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def op12_bit_plane_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_planes(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), k=8, rounds=10, scale=1024, salt="3")
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_secret_scan": op2_secret_scan,
@@ -92,6 +107,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hidden_markov": op8_hidden_markov,
     "op9_toxicity": op9_toxicity,
     "op10_decontamination": op10_decontamination,
+    "op11_token_counts": op11_token_counts,
+    "op12_bit_plane_clusters": op12_bit_plane_clusters,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 _WORDS = r"""
@@ -103,7 +121,76 @@ words AS (
 
 _TEMPLATES = ", ".join(f"({i}, '{t.label}', {t.exact}, string_split('{t.text}', ' '))" for i, t in enumerate(PHRASES + NOTICES))
 
+_ROUNDS = 10
+
+
+def _cluster_round(r: int) -> str:
+    """Vectors with their nearest centroid of round ``r``, and the centroids of the next."""
+    return f"""
+a{r} AS MATERIALIZED (
+    SELECT vec_id, v, j, distance FROM (
+        SELECT vec_id, k.v, c.j, CAST(list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS bigint) AS distance,
+            row_number() OVER (PARTITION BY vec_id ORDER BY list_sum(list_transform(list_zip(k.v, c.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), c.j) AS place
+        FROM kept k CROSS JOIN c{r} c) t
+    WHERE place = 1
+),
+s{r} AS (SELECT j, i, sum(v[i]) AS s, count(*) AS n FROM a{r}, unnest(range(1, 65)) u(i) GROUP BY j, i),
+m{r} AS (SELECT j, list(CAST((s - (s % n + n) % n) // n AS bigint) ORDER BY i) AS v FROM s{r} GROUP BY j),
+c{r + 1} AS MATERIALIZED (SELECT c.j, coalesce(m.v, c.v) AS v FROM c{r} c LEFT JOIN m{r} m USING (j))"""
+
+
 SQL: dict[str, str] = {
+    "op12_bit_plane_clusters": f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS double)) AS bigint)) AS v
+    FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS j, v FROM kept ORDER BY sha256('3:' || vec_id) LIMIT 8),
+{",".join(_cluster_round(r) for r in range(_ROUNDS + 1))}
+SELECT vec_id, CAST(j AS int) AS cluster, distance, CAST(sum(distance) OVER (PARTITION BY j) AS bigint) AS cluster_inertia, CAST(sum(distance) OVER () AS bigint) AS inertia,
+    sha256(array_to_string(list_transform(c.v, lambda x: CAST(x AS varchar)), ',')) AS centroid_sha256
+FROM a{_ROUNDS} JOIN c{_ROUNDS} c USING (j)""",
+    "op13_spelling_variants": r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY i) AS t
+    FROM range(256) r(i)
+),
+runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+    FROM documents
+),
+bytes AS (
+    SELECT run, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+        lambda ch: CASE WHEN unicode(ch) < 128 THEN [CAST(unicode(ch) AS bigint)] ELSE [CAST(192 + unicode(ch) // 64 AS bigint), CAST(128 + unicode(ch) % 64 AS bigint)] END)) AS b
+    FROM runs WHERE length(run) >= 7
+),
+hashed AS (
+    SELECT run, xor(list_reduce(list_prepend(CAST(4294967295 AS bigint), b), lambda c, x: xor(c // 256, t[(xor(c, x) % 256) + 1])), CAST(4294967295 AS bigint)) AS h
+    FROM bytes, crc_table
+),
+words AS MATERIALIZED (
+    SELECT word, count(*) AS n
+    FROM (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed) t
+    WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2
+),
+lacking AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS b FROM words, unnest(range(1, length(word) + 1)) u(i)),
+near AS (
+    SELECT x.word, y.word AS other FROM lacking x JOIN lacking y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+    UNION SELECT x.word, w.word FROM lacking x JOIN words w ON w.word = x.a || x.b
+    UNION SELECT w.word, x.word FROM lacking x JOIN words w ON w.word = x.a || x.b
+),
+ranked AS (
+    SELECT near.word, other, w.n AS other_n, count(*) OVER (PARTITION BY near.word) AS n_near,
+        row_number() OVER (PARTITION BY near.word ORDER BY w.n DESC, other) AS place
+    FROM near JOIN words w ON w.word = near.other
+),
+known AS MATERIALIZED (
+    SELECT w.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+    FROM words w LEFT JOIN ranked r ON r.word = w.word AND place = 1
+),
+follow AS (SELECT word, word AS here FROM words UNION ALL SELECT f.word, k.form FROM follow f JOIN known k ON k.word = f.here WHERE k.form IS NOT NULL)
+SELECT k.word, k.form, f.here AS root, k.n, k.n_near, k.form_n
+FROM known k JOIN follow f USING (word) JOIN known l ON l.word = f.here WHERE l.form IS NULL""",
     "op5_license_scan": rf"""
 WITH texts AS (
     SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
