@@ -40,12 +40,13 @@ def byte_symbols() -> dict[str, int]:
 
 
 @lru_cache(maxsize=1)
-def _unsettled() -> regex.Pattern:
-    """Code points this Python's tables do not know: pattern libraries of other ages may class them differently."""
-    unknown = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Cn"]
-    edges = np.flatnonzero(np.diff(unknown) > 1)
-    firsts, lasts = [unknown[0], *(unknown[e + 1] for e in edges)], [*(unknown[e] for e in edges), unknown[-1]]
-    return regex.compile("[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in zip(firsts, lasts)) + "]")
+def _unsettled() -> np.ndarray:
+    """Marks code points this Python's tables do not know: pattern libraries of other ages may class them differently."""
+    return np.fromiter((unicodedata.category(chr(c)) == "Cn" for c in range(sys.maxunicode + 1)), bool, sys.maxunicode + 1)
+
+
+def _settled(text: str) -> bool:
+    return text.isascii() or not _unsettled()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any()
 
 
 class Merges:
@@ -73,7 +74,7 @@ class Merges:
         self._path, self._library = path, None
 
     def pieces(self, text: str) -> list[str]:
-        if text.isascii() or not _unsettled().search(text):
+        if _settled(text):
             return _PIECE.findall(text)
         # Newer characters are classed as the tokenizer's own library classes them.
         if self._library is None:
