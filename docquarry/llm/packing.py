@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import Scratch, bounded_batches
-from docquarry.llm.encode import Encoder
+from docquarry.llm.encode import encoder
 from docquarry.llm.words import text_slices
 
 #: Workers whose left-over pieces are packed together.
@@ -60,13 +60,13 @@ def piece_lengths(n: int, capacity: int) -> list[int]:
 
 def _pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, worker = Encoder(tokenizer), TaskContext.get().partitionId()
+        encode, worker = encoder(tokenizer).encode, TaskContext.get().partitionId()
         open_bins: dict[int, list[tuple]] = defaultdict(list)
         n_pieces = n_sequences = 0
         for batch in batches:
             for lo, hi in text_slices(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
-                ids, borders = encoder.encode(part.column("text"))
+                ids, borders = encode(part.column("text"))
                 done = []
                 for doc_id, a, b in zip(part.column("doc_id").to_pylist(), borders[:-1].tolist(), borders[1:].tolist()):
                     data = np.append(ids[a:b], np.uint32(end_id)).astype("<u4").tobytes()

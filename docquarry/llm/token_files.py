@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import Scratch, bounded_batches
-from docquarry.llm.encode import Encoder
+from docquarry.llm.encode import encoder
 from docquarry.llm.words import text_slices
 
 BLOCK_IDS = 1 << 16
@@ -118,7 +118,7 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     schema = pa.schema([*_BLOCK, ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
+        encode, part = encoder(tokenizer).encode, TaskContext.get().partitionId()
         block, n, doc_ids, sizes, data = 0, 0, [], [], []
 
         def closed() -> pa.RecordBatch:
@@ -131,7 +131,7 @@ def _blocks(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         for batch in batches:
             for lo, hi in text_slices(batch.column("text")):
                 column = batch.slice(lo, hi - lo)
-                ids, borders = encoder.encode(column.column("text"))
+                ids, borders = encode(column.column("text"))
                 for doc_id, a, b in zip(column.column("doc_id").to_pylist(), borders[:-1].tolist(), borders[1:].tolist()):
                     doc_ids.append(doc_id)
                     sizes.append(b - a + 1)

@@ -80,11 +80,11 @@ def spans(is_word: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.flatnonzero(is_word & ~before), np.flatnonzero(is_word & ~after) + 1
 
 
-def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of ``raw``; equal bytes have equal hashes."""
+def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, of_byte: np.ndarray = _BYTES) -> np.ndarray:
+    """A 64-bit hash of each span of ``raw``; equal bytes have equal hashes. ``of_byte`` chooses the hash."""
     sums = np.empty(len(raw) + 1, np.uint64)
     sums[0] = 0
-    np.cumsum(_BYTES[raw] * _power("up", len(raw)), out=sums[1:])
+    np.cumsum(of_byte[raw] * _power("up", len(raw)), out=sums[1:])
     return mix((sums[ends] - sums[starts]) * _power("down", len(raw) + 1)[starts])
 
 
