@@ -24,12 +24,17 @@ class Scratch:
     """A fresh folder on shared storage for the tables of one run."""
 
     def __init__(self, spark: SparkSession, label: str):
-        self.folder, self._n = shared_dir(spark, label), itertools.count()
+        self._spark, self.folder, self._n = spark, shared_dir(spark, label), itertools.count()
 
     def keep(self, df: DataFrame) -> DataFrame:
         """Write ``df`` and go on from the file: cuts the lineage, gives the real size."""
         return stored(df, f"{self.folder}/t{next(self._n)}")
 
+    def drop(self) -> None:
+        """Delete the tables, once nothing reads them any more. Whichever store the folder is in, Spark reaches it."""
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self._spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(*columns)

@@ -319,12 +319,13 @@ def links_inside(members: DataFrame, docs: DataFrame, size: int, num: int, den:
     return counted.groupBy("class_id").agg(F.sum("n_links").alias("n_links"))
 
 
-def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> DataFrame:
+def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10, scratch: Scratch | None = None) -> DataFrame:
     """Link documents whose shingle sets have a Jaccard similarity of ``num / den`` or more.
 
     One row per input row: ``doc_id``, ``n_shingles``, ``class_id`` (least doc_id with an equal set),
     ``n_links`` (links of its class to classes of other sets that were verified), ``component_id``
-    (least doc_id reachable by links). All links between different sets are counted.
+    (least doc_id reachable by links). All links between different sets are counted. A caller that
+    hands in ``scratch`` may drop it once the result is written.
 
     Defined cases: a null or blank text has an empty set and is linked with nothing, so it is its
     own class and component. Fewer words than ``size`` are one shingle. Rows that repeat a doc_id
@@ -335,7 +336,7 @@ def ngram_join(docs: DataFrame, size: int = 5, num: int = 8, den: int = 10) -> D
         raise ValueError("the similarity must be over 1/2 and at most 1: two sets that link then share two tokens or are equal")
     spark = docs.sparkSession
     bounded_batches(spark)
-    scratch = Scratch(spark, "ngram-join")
+    scratch = scratch or Scratch(spark, "ngram-join")
     docs = docs.select("doc_id", "text")
     rows = scratch.keep(shingle_prefixes(docs, size, num, den))
     nodes = rows.where("n > 0 AND doc_id IS NOT NULL")
