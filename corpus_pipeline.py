@@ -7,6 +7,7 @@ stage says nothing else; an empty table passes all stages.
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,22 +22,38 @@ MARK = "[secret]"
 ROW = "_row"
 
 
-def _numbered(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """``docs`` with a number for each row, written, so that it stays: ids may be null or repeat."""
-    return scratch.keep(docs.withColumn(ROW, F.monotonically_increasing_id()))
+def _numbered(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, and that column's name: ids may be null or repeat.
 
-
-def _without(rows: DataFrame, leave: DataFrame) -> DataFrame:
-    return rows.join(leave, ROW, "left_anti").drop(ROW)
+    The number is the row's place: the place in its file, above it a hash of the file's name, with a
+    salt that gives every file another. So it is the same whenever a row is read, also after an
+    executor is lost, and no document is written again. Rows that do not come from files are written
+    with a number.
+    """
+    row = ROW
+    while row in docs.columns:
+        row += "_"
+    try:
+        place = docs.select("*", docs.metadataColumn("_metadata")["file_path"].alias(f"{row}file"), docs.metadataColumn("_metadata")["row_index"].alias(f"{row}at"))
+    except AnalysisException:
+        place = None
+    if place is not None:
+        files, last = place.agg(F.count_distinct(f"{row}file"), F.max(f"{row}at")).first()
+        bits = int(last or 0).bit_length()
+        for salt in range(16):
+            name = F.pmod(F.xxhash64(F.lit(salt), f"{row}file"), F.lit(1 << (62 - bits)))
+            if place.agg(F.count_distinct(name)).first()[0] == files:
+                return place.withColumn(row, F.shiftleft(name, bits) + F.col(f"{row}at")).drop(f"{row}file", f"{row}at"), row
+    return scratch.keep(docs.withColumn(row, F.monotonically_increasing_id())), row
 
 
 def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text is predicted toxic go, whatever their id."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scratch = Scratch(spark, "pipeline-toxic")
-    rows = _numbered(docs, scratch)
-    leave = scratch.keep(toxicity(rows.select("doc_id", "text", ROW), labels, row=ROW).where("predicted = 1").select(ROW))
-    return _without(rows, leave)
+    rows, row = _numbered(docs, scratch)
+    leave = scratch.keep(toxicity(rows.select("doc_id", "text", row), labels, row=row).where("predicted = 1").select(row))
+    return rows.join(leave, row, "left_anti").drop(row)
 
 
 def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +61,25 @@ def near_copies_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows are compared by their texts alone: those that repeat an id with different texts all stay.
     """
-    scratch = Scratch(spark, "pipeline-copies")
-    rows = _numbered(docs, scratch)
-    linked = scratch.keep(ngram_join(rows.select(F.col(ROW).alias("doc_id"), "text"), size=5, num=8, den=10).select(F.col("doc_id").alias(ROW), "component_id"))
+    scratch, join = Scratch(spark, "pipeline-copies"), Scratch(spark, "pipeline-copies-join")
+    rows, row = _numbered(docs, scratch)
+    linked = ngram_join(rows.select(F.col(row).alias("doc_id"), "text"), size=5, num=8, den=10, scratch=join)
+    linked = join.keep(linked.select(F.col("doc_id").alias(row), "component_id"))
     groups = linked.groupBy("component_id").count().where("count > 1").select("component_id")
-    members = scratch.keep(linked.join(groups, "component_id").join(rows.select(ROW, "doc_id"), ROW))
-    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")).select(F.col(f"first.{ROW}").alias(ROW))
-    return _without(rows, scratch.keep(members.join(first, ROW, "left_anti").select(ROW)))
+    members = join.keep(linked.join(groups, "component_id").join(rows.select(row, "doc_id"), row))
+    first = members.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", row)).alias("first")).select(F.col(f"first.{row}").alias(row))
+    leave = scratch.keep(members.join(first, row, "left_anti").select(row))
+    join.drop()
+    return rows.join(leave, row, "left_anti").drop(row)
 
 
 def benchmark_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds a benchmark item go, whatever their id."""
     scratch = Scratch(spark, "pipeline-benchmark")
-    rows = _numbered(docs, scratch)
-    found = contamination(rows.select(F.col(ROW).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _without(rows, scratch.keep(found.select(F.col("doc_id").alias(ROW)).distinct()))
+    rows, row = _numbered(docs, scratch)
+    found = contamination(rows.select(F.col(row).alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    leave = scratch.keep(found.select(F.col("doc_id").alias(row)).distinct())
+    return rows.join(leave, row, "left_anti").drop(row)
 
 
 def secrets_masked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -84,7 +105,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, scratch = spark.read.parquet(f"{sf_dir}/documents.parquet"), Scratch(spark, "pipeline")
-    for _, stage in STAGES:
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
+    for name, stage in STAGES:
+        scratch = Scratch(spark, f"pipeline-{name}")
         docs = scratch.keep(stage(spark, docs, sf_dir))
+        if before:
+            before.drop()
+        before = scratch
     return docs
