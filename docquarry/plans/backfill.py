@@ -2,7 +2,7 @@
 
 import datetime
 import logging
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +12,9 @@ from docquarry.operators.calendar import calendar_between
 from docquarry.operators.extract import DEFAULT_EXTRACTORS, Extractors
 from docquarry.operators.gaps import classify_days, plan_days, plan_summary
 from docquarry.operators.graph import VOCABULARY, Vocabulary
-from docquarry.plans.mine import MineParams, by_day, mine
+from docquarry.plans.mine import MineParams, mine_windows
 from docquarry.schemas import RUN_LOG_SCHEMA, conform
-from docquarry.sinks.daily import Corpus, manifest_inventory, planned_days, scope_of, write_days
+from docquarry.sinks.daily import Corpus, manifest_inventory, scope_of
 from docquarry.sources.tables import stored
 from docquarry.settings import shared_dir
 
@@ -86,11 +86,13 @@ def run_backfill(
     extractors: Extractors = DEFAULT_EXTRACTORS,
     vocabulary: Vocabulary = VOCABULARY,
     inventory: DataFrame | None = None,
+    landed: DataFrame | None = None,
 ) -> DataFrame:
     """Fetch the planned days with the options of the normal job; returns the run log.
 
     With ``dry_run`` the plan is returned instead. The inventory comes from the manifest unless
-    one is given.
+    one is given. Days that ``landed`` (day, error) lacks or gives an error for are logged as errors,
+    as are those of a group of days that failed; the next backfill plans them again.
     """
     spark = quads.sparkSession
     scope = scope_of(params.lang)
@@ -100,9 +102,7 @@ def run_backfill(
         return plan.days
     # The plan reads the manifest this run is about to extend.
     days = stored(plan.days, f"{shared_dir(spark, f'plan-{run_id}')}/days")
-    span = replace(params, today=plan.last, lookback=max((plan.last - plan.first).days + 1, 0))
-    wanted = days.select(F.col("date").alias("day"))
-    mined = mine(quads, taxonomy, payloads, span, corpus, run_id, extractors, vocabulary, wanted)
-    entries = write_days(by_day(mined.documents), planned_days(wanted, mined.discovered), corpus, run_id, scope)
-    logged = entries.withColumnsRenamed({"day": "date"}).join(days, "date").withColumn("path", F.lit(corpus.files))
+    windows = [(r.date, r.date) for r in days.orderBy("date").collect()]
+    _, entries = mine_windows(quads, taxonomy, payloads, params, corpus, run_id, windows, extractors, vocabulary, landed)
+    logged = entries.withColumnRenamed("window_start", "date").join(days, "date").withColumn("path", F.lit(corpus.files))
     return conform(logged, RUN_LOG_SCHEMA)

@@ -80,6 +80,17 @@ PAYLOAD_SCHEMA = T.StructType(
     ]
 )
 
+# What a run set aside: rows that lack required fields (``quarantine``), and documents without text (``extraction``).
+PROBLEM_SCHEMA = T.StructType(
+    [
+        T.StructField("kind", _STRING),
+        T.StructField("missing", _STRINGS),
+        T.StructField("error", _STRING),
+        T.StructField("format", _STRING),
+        *[f for f in DOCUMENT_SCHEMA.fields if f.name != "text"],
+    ]
+)
+
 INVENTORY_SCHEMA = T.StructType(
     [T.StructField("date", _STRING), T.StructField("path", _STRING), T.StructField("num_rows", T.LongType())]
 )

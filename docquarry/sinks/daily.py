@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docquarry.operators.ranking import keep_first
-from docquarry.schemas import MANIFEST_SCHEMA, RANGE_MANIFEST_SCHEMA
+from docquarry.schemas import MANIFEST_SCHEMA, PROBLEM_SCHEMA, RANGE_MANIFEST_SCHEMA, conform
 from docquarry.sources.tables import read_or_empty
 
 RUN = "_run"
@@ -31,6 +31,8 @@ class Corpus:
     """Where one corpus keeps its tables."""
 
     root: str
+    #: Buckets of the extraction results; the corpus keeps the number it began with.
+    buckets: int = 256
 
     @property
     def files(self) -> str:
@@ -52,6 +54,10 @@ class Corpus:
     def extracted(self) -> str:
         return posixpath.join(self.root, "extracted")
 
+    @property
+    def problems(self) -> str:
+        return posixpath.join(self.root, "problems")
+
     @property
     def late(self) -> str:
         return posixpath.join(self.root, "late")
@@ -92,17 +98,41 @@ def planned_days(days: DataFrame, discovered: DataFrame | None = None, errors: D
     return out.select("day", F.col("discovered").cast("long"), F.col("error").cast("string"))
 
 
-def write_days(docs: DataFrame, planned: DataFrame, corpus: Corpus, run_id: str, scope: str = ALL_LANGUAGES) -> DataFrame:
+_PROBLEM_KEYS = ("year", "window_start", "scope", RUN)
+
+
+def _write_problems(problems: DataFrame | None, corpus: Corpus, scope: str, attempt: str) -> None:
+    """What the attempt set aside, ``PROBLEM_SCHEMA`` with ``window_start``; the attempt's entry makes it count."""
+    if problems is not None:
+        rows = conform(problems, T.StructType([*PROBLEM_SCHEMA, T.StructField("window_start", T.StringType())]))
+        rows = rows.withColumns({"scope": F.lit(scope), RUN: F.lit(attempt), "year": F.substring("window_start", 1, 4)})
+        _write_partitions(rows, corpus.problems, _PROBLEM_KEYS)
+
+
+def read_problems(spark: SparkSession, corpus: Corpus) -> DataFrame:
+    """What the latest attempt at each day or range set aside, with its ``window_start`` and ``scope``."""
+    schema = T.StructType([*PROBLEM_SCHEMA, *[T.StructField(c, T.StringType()) for c in _PROBLEM_KEYS]])
+    days = current_manifest(spark, corpus, with_errors=True).select(F.col("day").alias("window_start"), "scope", F.col("attempt").alias(RUN))
+    ranges = keep_first(read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA), ["window_start", "window_end", "scope"], [F.desc("seq")])
+    latest = days.unionByName(ranges.select("window_start", "scope", F.col("attempt").alias(RUN)))
+    rows = read_or_empty(spark, corpus.problems, schema).join(latest, ["window_start", "scope", RUN], "left_semi")
+    return rows.select("window_start", "scope", *PROBLEM_SCHEMA.fieldNames())
+
+
+def write_days(
+    docs: DataFrame, planned: DataFrame, corpus: Corpus, run_id: str, scope: str = ALL_LANGUAGES, problems: DataFrame | None = None
+) -> DataFrame:
     """Add the days in ``docs``, then record every planned day; returns this attempt's entries.
 
     A planned day without documents gets an ``empty`` entry, one with an error an ``errors`` entry
     that leaves the stored day as it was. A run id may come again: the later attempt counts.
-    ``docs`` must not hold days that are not planned.
+    ``docs`` must not hold days that are not planned. ``problems`` is stored with the same attempt.
     """
     spark = docs.sparkSession
     seq, attempt = _attempt(_entries(spark, corpus), run_id)
     rows = docs.withColumns({"scope": F.lit(scope), RUN: F.lit(attempt), "year": F.substring("day", 1, 4)})
     _write_partitions(rows, corpus.files, ("year", "day", "scope", RUN))
+    _write_problems(problems, corpus, scope, attempt)
 
     # Only the partitions of this attempt are opened.
     written = read_or_empty(spark, corpus.files, T.StructType([T.StructField(c, T.StringType()) for c in ("year", "day", "scope", RUN)]))
@@ -187,25 +217,46 @@ def sql_over_days(spark: SparkSession, corpus: Corpus, query: str, view: str = "
     return spark.sql(query)
 
 
-def write_ranges(docs: DataFrame, corpus: Corpus, run_id: str, windows: DataFrame | None = None, scope: str = ALL_LANGUAGES) -> None:
+def write_ranges(
+    docs: DataFrame,
+    corpus: Corpus,
+    run_id: str,
+    windows: DataFrame | None = None,
+    scope: str = ALL_LANGUAGES,
+    errors: DataFrame | None = None,
+    problems: DataFrame | None = None,
+) -> DataFrame:
     """Windows wider than a day: one partition per window and attempt, in the year of its first day.
 
     ``windows`` (start, end) names all windows of the run, so that one without documents gets an ``empty``
-    entry; by default they are those of ``docs``. Range partitions have no ``day`` and so are
-    invisible to inventory and backfill.
+    entry; by default they are those of ``docs``. A window in ``errors`` (day: its start, error) gets an
+    ``errors`` entry, which hides no older documents. Range partitions have no ``day`` and so are
+    invisible to inventory and backfill. Returns this attempt's entries.
     """
     spark = docs.sparkSession
     seq, attempt = _attempt(read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA), run_id)
     rows = docs.withColumns({"scope": F.lit(scope), RUN: F.lit(attempt), "year": F.substring("window_start", 1, 4)})
     keys = ("year", "window_start", "window_end", "scope", RUN)
     _write_partitions(rows, corpus.ranges, keys)
+    _write_problems(problems, corpus, scope, attempt)
     written = read_or_empty(spark, corpus.ranges, T.StructType([T.StructField(c, T.StringType()) for c in keys])).filter(F.col(RUN) == attempt)
     counts = written.groupBy("window_start", "window_end").agg(F.count("*").alias("n_rows"))
     entries = counts if windows is None else windows.select(F.col("start").alias("window_start"), F.col("end").alias("window_end")).join(counts, ["window_start", "window_end"], "left")
-    n = F.coalesce("n_rows", F.lit(0)).cast("long")
-    entries = entries.select("window_start", "window_end", F.when(n > 0, "rows").otherwise("empty").alias("status"), n.alias("n_rows"), F.lit(None).cast("string").alias("error"))
+    if errors is None:
+        entries = entries.withColumn("error", F.lit(None).cast("string"))
+    else:
+        entries = entries.join(errors.select(F.col("day").alias("window_start"), F.col("error").cast("string")), "window_start", "left")
+    n, good = F.coalesce("n_rows", F.lit(0)).cast("long"), F.col("error").isNull()
+    status = F.when(~good, "errors").when(n > 0, "rows").otherwise("empty")
+    entries = entries.select("window_start", "window_end", status.alias("status"), F.when(good, n).alias("n_rows"), "error")
     entries = _stamped(entries, docs, scope, run_id, seq, attempt).select(*RANGE_MANIFEST_SCHEMA.fieldNames())
     entries.coalesce(1).write.mode("append").parquet(corpus.range_manifest)
+    return read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA).filter(F.col("attempt") == attempt)
+
+
+def range_entries(spark: SparkSession, corpus: Corpus) -> DataFrame:
+    """All entries of all attempts at ranges."""
+    return read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA)
 
 
 def read_ranges(spark: SparkSession, corpus: Corpus, date: str = "date") -> DataFrame:
@@ -216,7 +267,8 @@ def read_ranges(spark: SparkSession, corpus: Corpus, date: str = "date") -> Data
     window that became empty hides its older rows, and windows that a later run shifts do not
     overlap.
     """
-    entries = keep_first(read_or_empty(spark, corpus.range_manifest, RANGE_MANIFEST_SCHEMA), ["window_start", "window_end", "scope", "attempt"], [F.desc("seq")])
+    entries = range_entries(spark, corpus).filter("status <> 'errors'")
+    entries = keep_first(entries, ["window_start", "window_end", "scope", "attempt"], [F.desc("seq")])
     schemas = entries.groupBy("columns").agg(F.max("seq").alias("seq")).orderBy(F.desc("seq")).collect()
     schema = union_schema(*[T.StructType.fromJson(json.loads(r["columns"])) for r in schemas])
     keys = ("year", "window_start", "window_end", "scope", RUN)

@@ -4,9 +4,13 @@ Every fixture keeps all rows of the tables it is made from; gaps, empty cells an
 made by mapping values, not by leaving rows out.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docquarry.settings import shared_dir
+from docquarry.sources.buckets import read_payloads, write_payloads
 from docquarry.sources.quads import read_quads, write_quads
 
 BASE_TABLES = (
@@ -162,6 +166,22 @@ SELECT 'work:' || CAST(o_orderkey AS string) AS url, f AS format, lower(lg) AS l
 FROM {_EXPRESSIONS} CROSS JOIN (VALUES ('pdf'), ('xhtml')) w(f) WHERE {_MONTH_OF} <= m
 """
 
+# Of a fifth of the works no payload has landed, and of a seventh the payloads are blank.
+FIXTURES["payloads_flawed"] = f"""
+SELECT 'work:' || CAST(o_orderkey AS string) AS url, f AS format, lower(lg) AS lang,
+       CASE WHEN o_orderkey % 7 = 0 THEN ' ' ELSE '<p>title ' || CAST(o_orderkey AS string) || '</p> <b>' || lg || '</b>' END AS content
+FROM {_EXPRESSIONS} CROSS JOIN (VALUES ('pdf'), ('xhtml')) w(f) WHERE {_MONTH_OF} <= m AND o_orderkey % 5 <> 0
+"""
+
+# What a job is told of its source: the seventh of a month was never asked, on the 13th there was no answer.
+FIXTURES["landed_days"] = """
+SELECT DISTINCT d AS day, CASE WHEN substr(d, 9, 2) = '13' THEN 'source gave no answer' END AS error
+FROM (SELECT CAST(CAST(o_orderdate AS date) AS string) AS d FROM {orders} UNION ALL
+      SELECT CAST(CAST(o_orderdate AS date) + 1 AS string) FROM {orders} UNION ALL
+      SELECT CAST(CAST(o_orderdate AS date) - 1 AS string) FROM {orders}) t
+WHERE substr(d, 9, 2) <> '07'
+"""
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -182,14 +202,24 @@ def with_fixtures(names: str, body: str) -> str:
     return f"WITH {ctes}{joint}\n{body.lstrip().removeprefix('WITH ') if joint else body}"
 
 
-_LANDED: dict[tuple[str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], str] = {}
 
 
-def landed_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quads fixture as the stored table that jobs read: written once per application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+    """Where an input is stored: written once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _LANDED:
-        path = shared_dir(spark, "quads")
-        write_quads(fixture(spark, sf_dir, "quads"), path)
+        write(path := shared_dir(spark, name))
         _LANDED[key] = path
-    return read_quads(spark, _LANDED[key])
+    return _LANDED[key]
+
+
+def landed_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quads fixture as the stored table that jobs read."""
+    return read_quads(spark, _once(spark, sf_dir, "quads", lambda path: write_quads(fixture(spark, sf_dir, "quads"), path)))
+
+
+def landed_payloads(spark: SparkSession, sf_dir: str, name: str = "payloads") -> DataFrame:
+    """A payloads fixture as the stored table that jobs read, in buckets."""
+    rows = fixture(spark, sf_dir, name).withColumn("content", F.col("content").cast("binary"))
+    return read_payloads(spark, _once(spark, sf_dir, name, lambda path: write_payloads(rows, path, 64)))
