@@ -1,45 +1,68 @@
 """File listings, inventory of written days, payload files, and SQL over written documents."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import pyarrow
-import pyarrow.fs
 import pyarrow.parquet
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docquarry.functions.dates import date_in_name, day_of_file
 from docquarry.operators.ranking import keep_first
+from docquarry.settings import shared_dir
+from docquarry.sources.tables import stored
 
 
-def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """Paths below ``root``, zero-row files included. Only names are listed, no content is read."""
+def _listing(spark: SparkSession, root: str, glob: str) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    return reader.option("pathGlobFilter", glob).load(root).select("path")
+    return reader.option("pathGlobFilter", glob).load(root).select("path", F.col("_metadata.file_path").alias("file"))
 
 
-def _footer_rows(path: str) -> int | None:
-    # A scheme that is not known, a missing right or a lost connection is an error of the job: it
-    # must not make the whole corpus look unreadable, and so due to be fetched again.
-    filesystem, name = pyarrow.fs.FileSystem.from_uri(path)
-    with filesystem.open_input_file(name) as handle:
-        try:
-            return pyarrow.parquet.ParquetFile(handle).metadata.num_rows
-        except (pyarrow.ArrowInvalid, EOFError):  # a broken footer is reported, not fatal
-            return None
+def list_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """Paths below ``root``, zero-row files included. Only names are listed, no content is read."""
+    return _listing(spark, root, glob).select("path")
 
 
-def _add_footer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _valid_without_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = batch["path"].map(_footer_rows).astype("Int64")
-        yield batch.assign(num_rows=rows)
+        yield pd.DataFrame({"path": batch["path"], "valid": [_has_footer(c) for c in batch["content"]]})
+
 
+def _has_footer(content: bytes) -> bool:
+    try:
+        return pyarrow.parquet.ParquetFile(pyarrow.BufferReader(content)).metadata.num_rows == 0
+    except (pyarrow.ArrowInvalid, EOFError):  # a broken footer is reported, not fatal
+        return False
 
-def with_row_counts(paths: DataFrame) -> DataFrame:
-    """Add ``num_rows`` from each file's footer; null if unreadable. Files are spread over tasks."""
-    spread = paths.select("path").repartition("path")
-    return spread.mapInPandas(_add_footer_rows, "path string, num_rows long")
+
+#: A file without rows is little more than its footer.
+_MOST_EMPTY_BYTES = 16 << 20
+
+
+def row_counts(spark: SparkSession, root: str, glob: str = "*.parquet", only: Callable[[Column], Column] | None = None) -> DataFrame:
+    """``(path, num_rows)`` of the Parquet files below ``root``; null for one that cannot be read as such.
+
+    Spark's reader counts by file, from the footers alone, so any store will do that Spark reads. It
+    passes over broken files, and one without rows gives none: the files left over are told apart by
+    their content, of which only small ones can be sound. Their names pass through the driver, as those of
+    any files that are read do. ``only`` is a condition on the path. A store that cannot be reached, or a lost
+    connection, is an error: it must not make files look unreadable, and so due to be fetched again.
+    """
+    listed = _listing(spark, root, glob)
+    reader = spark.read.schema(T.StructType([])).option("ignoreCorruptFiles", True).option("recursiveFileLookup", True)
+    rows = reader.option("pathGlobFilter", glob).parquet(root).select(F.col("_metadata.file_path").alias("file"))
+    if only is not None:
+        listed, rows = listed.filter(only(F.col("path"))), rows.filter(only(F.url_decode(F.replace("file", F.lit("+"), F.lit("%2B")))))
+    counted = listed.join(rows.groupBy("file").agg(F.count("*").alias("num_rows")), "file", "left").select("path", "num_rows")
+    counted = stored(counted, shared_dir(spark, "row-counts"))
+    others = [row.path for row in counted.filter("num_rows IS NULL").collect()]
+    if not others:
+        return counted
+    small = spark.read.format("binaryFile").load(others).filter(F.col("length") <= _MOST_EMPTY_BYTES).select("path", "content")
+    sound = small.mapInPandas(_valid_without_rows, "path string, valid boolean").filter("valid").select("path", F.lit(0).cast("long").alias("_none"))
+    return counted.join(sound, "path", "left").select("path", F.coalesce("num_rows", "_none").alias("num_rows"))
 
 
 def daily_inventory(files: DataFrame, prefix: str, suffix: str = "") -> DataFrame:
@@ -54,9 +77,8 @@ def daily_inventory(files: DataFrame, prefix: str, suffix: str = "") -> DataFram
 
 def scan_inventory(spark: SparkSession, root: str, prefix: str, suffix: str = "") -> DataFrame:
     """Inventory of the daily files below ``root``; footers of matching files only are read."""
-    files = list_files(spark, root)
-    matching = files.filter(day_of_file(F.col("path"), prefix, suffix).isNotNull())
-    return daily_inventory(with_row_counts(matching), prefix, suffix)
+    only = lambda path: day_of_file(path, prefix, suffix).isNotNull()
+    return daily_inventory(row_counts(spark, root, only=only), prefix, suffix)
 
 
 def scan_partitions(spark: SparkSession, root: str, scope: str = "all", current: DataFrame | None = None) -> DataFrame:
@@ -68,13 +90,12 @@ def scan_partitions(spark: SparkSession, root: str, scope: str = "all", current:
     unknown.
     """
     day = F.regexp_extract("path", r"/day=(\d{4}-\d{2}-\d{2})/", 1)
-    in_scope = F.col("path").contains(f"/scope={scope}/")
-    files = list_files(spark, root).filter((day != "") & in_scope)
+    in_scope = lambda path: path.contains(f"/scope={scope}/") & path.rlike(r"/day=\d{4}-\d{2}-\d{2}/")
+    counted = row_counts(spark, root, only=in_scope)
     if current is not None:
         attempt = F.url_decode(F.regexp_extract("path", r"/_run=([^/]+)/", 1))
         valid = current.select("day", "attempt")
-        files = files.withColumns({"day": day, "attempt": attempt}).join(valid, ["day", "attempt"], "left_semi").select("path")
-    counted = with_row_counts(files)
+        counted = counted.withColumns({"day": day, "attempt": attempt}).join(valid, ["day", "attempt"], "left_semi").select("path", "num_rows")
     total = F.when(F.count("num_rows") == F.count("*"), F.sum("num_rows"))
     return (
         counted.groupBy(day.alias("date"))

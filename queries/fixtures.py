@@ -48,6 +48,8 @@ SELECT 'work:' || CAST(p_partkey AS string) AS cellarURIs,
 FROM {{part}}
 """
 _TITLE = "p_name || '|||second title'"
+_DATED = "CAST(DATE '2024-01-01' + CAST(p_partkey % 30 AS int) AS string)"
+_ODD_DATES = _BINDINGS.replace(_DATED, f"CASE p_partkey % 40 WHEN 7 THEN '2024-02-15' WHEN 8 THEN '2024-13-45' WHEN 9 THEN '20 January' ELSE {_DATED} END")
 
 FIXTURES = {
     "docs": _DOCS.format(day=f"CAST(DATE '2024-01-01' + CAST({_DOC_DAY} AS int) AS string)", text="text"),
@@ -72,6 +74,13 @@ SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'voc:N' || p_name ELSE 'malforme
     "bindings": _BINDINGS.format(title=_TITLE),
     "bindings_draft": _BINDINGS.format(title="'draft ' || p_name || '|||second title'"),
     "bindings_flawed": _BINDINGS.format(title=f"CASE WHEN p_partkey % 10 = 0 THEN NULL ELSE {_TITLE} END"),
+    "bindings_stream": _ODD_DATES.format(title=_TITLE),
+    "bindings_stream_draft": _ODD_DATES.format(title="'draft ' || p_name || '|||second title'"),
+    # Payloads of these documents; those of a ninth have not landed.
+    "part_payloads": """
+SELECT 'work:' || CAST(p_partkey AS string) AS url, 'pdf' AS format, 'eng' AS lang, 'part ' || CAST(p_partkey AS string) || ' is ' || p_name AS content
+FROM {part} WHERE p_partkey % 9 <> 0
+""",
     "file_names": f"""
 SELECT 'files/' || substr(d, 1, 4) || '/dataset_' || d || '_eng.parquet' AS name FROM (SELECT {_ORDER_DAY} AS d FROM {{orders}}) t
 UNION ALL

@@ -6,18 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docquarry.operators.calendar import calendar_between, lookback_windows, with_window
+from docquarry.operators.extract import DEFAULT_EXTRACTORS
 from docquarry.operators.taxonomy import taxonomy_keys
+from docquarry.plans.mine import MineParams
 from docquarry.schemas import BINDING_VARIABLES
 from docquarry.settings import shared_dir
-from docquarry.sinks.daily import Corpus, planned_days, read_days, read_ranges, sql_over_days, write_days, write_ranges
+from docquarry.sinks.daily import Corpus, planned_days, read_days, read_problems, read_ranges, sql_over_days, write_days, write_ranges
 from docquarry.sinks.publish import publish_changes
 from docquarry.sources.bindings import read_bindings, stream_bindings
 from docquarry.sources.files import scan_partitions, sql_over_files
 from docquarry.sources.tables import stored
 from docquarry.sources.taxonomy_xml import read_taxonomy_entries, write_taxonomy_entries
-from docquarry.streaming.ingest import ingest_stream, merge_days, read_late
+from docquarry.streaming.ingest import ingest_stream, merge_days, read_aside, read_late
 from queries import Query
-from queries.fixtures import fixture, with_fixtures
+from queries.fixtures import fixture, landed_payloads, with_fixtures
 from queries.graph_queries import _joined, _mapping_sql, _taxonomy
 
 FIRST, TODAY = datetime.date(2024, 1, 1), datetime.date(2024, 1, 30)
@@ -183,6 +185,26 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.unionByName(_joined(late).select(*columns, F.lit("late").alias("place")))
 
 
+def stream_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drafts, then corrections, mined as they land: kept documents with text and matches, one for each
+    CELEX and day over both rounds; rows of no day by the reason; documents whose payload has not landed."""
+    base = shared_dir(spark, "stream")
+    corpus, taxonomy = Corpus(f"{base}/corpus"), stored(_taxonomy(spark, sf_dir), f"{base}/taxonomy")
+    payloads = landed_payloads(spark, sf_dir, "part_payloads")
+    params = MineParams(today=TODAY, keywords=("part 1", "steel"), unique_on="celex")
+    extractors = DEFAULT_EXTRACTORS.register("pdf", bytes.decode)
+    for i, name in enumerate(("bindings_stream_draft", "bindings_stream")):
+        _land_bindings(fixture(spark, sf_dir, name), f"{base}/landed/round={i}")
+        rows = stream_bindings(spark, f"{base}/landed/round=*", multi_line=False)
+        ingest_stream(rows, taxonomy, corpus, TODAY, 20, f"{base}/checkpoint", payloads=payloads, params=params, extractors=extractors).awaitTermination()
+    columns = ["url", "celex", "title", "date", "text", "match_part_1", "match_steel"]
+    kept = read_days(spark, corpus).select(F.lit("day").alias("place"), *columns)
+    nothing = [F.lit(None).cast("string").alias("text"), F.lit(None).cast("boolean").alias("match_part_1"), F.lit(None).cast("boolean").alias("match_steel")]
+    aside = read_aside(spark, corpus).select("place", *columns[:4], *nothing)
+    failed = read_problems(spark, corpus).select(F.col("error").alias("place"), *columns[:4], *nothing)
+    return kept.unionByName(aside).unionByName(failed)
+
+
 _VARIABLES = ("cellarURIs", "celexIds", "title", "date", "langIdentifier", "subjects", "authors", "mtypes", "workTypes", "eliIds")
 
 QUERIES = {
@@ -291,4 +313,23 @@ QUERIES = {
         ),
         "ST1",
     ),
+    "stream_pipeline": Query(
+        stream_pipeline,
+        with_fixtures(
+            "bindings_stream bindings_stream_draft taxonomy_raw part_payloads",
+            "WITH "
+            + _mapping_sql("bindings_stream").lstrip()
+            + """, shaped AS (SELECT b.cellarURIs AS url, coalesce(split_part(b.celexIds, '|||', 1), '') AS celex, split_part(b.title, '|||', 1) AS title,
+                    split_part(r.title, '|||', 1) AS draft, b.date, contains(b.mtypes, 'pdf') AS has_pdf,
+                    CASE WHEN try_cast(b.date AS date) IS NULL THEN 'unparsable' WHEN b.date > '2024-01-30' THEN 'future' WHEN b.date < '2024-01-11' THEN 'late' ELSE 'day' END AS place
+                  FROM listed b JOIN mapped USING (cellarURIs) JOIN bindings_stream_draft r USING (cellarURIs)),
+                  asked AS (SELECT s.*, p.content AS text FROM shaped s LEFT JOIN part_payloads p USING (url) WHERE place = 'day' AND has_pdf),
+                  kept AS (SELECT *, row_number() OVER (PARTITION BY date, celex ORDER BY url DESC) AS rn FROM asked WHERE text IS NOT NULL)
+                  SELECT place, url, celex, title, date, text, regexp_matches(text, '(?i)part 1') AS match_part_1, regexp_matches(text, '(?i)steel') AS match_steel FROM kept WHERE rn = 1
+                  UNION ALL SELECT place, url, celex, title, date, NULL, NULL, NULL FROM shaped WHERE place <> 'day'
+                  UNION ALL SELECT place, url, celex, draft, date, NULL, NULL, NULL FROM shaped WHERE place <> 'day'
+                  UNION ALL SELECT 'no payload', url, celex, title, date, NULL, NULL, NULL FROM asked WHERE text IS NULL""",
+        ),
+        "ST1 T6 K2 D1 R13",
+    ),
 }

@@ -15,9 +15,9 @@ from docquarry.plans.backfill import BackfillParams, run_backfill
 from docquarry.plans.mine import MineParams, mine, run_lookback
 from docquarry.schemas import DOCUMENT_SCHEMA, PAYLOAD_SCHEMA, QUAD_SCHEMA
 from docquarry.sinks.daily import Corpus, current_manifest, planned_days, read_days, read_manifest, read_ranges, scope_of, sql_over_days, superseded, write_days, write_ranges
-from docquarry.sinks.publish import publish_changes
+from docquarry.sinks.publish import publish_changes, published_partitions
 from docquarry.sources.bindings import read_bindings
-from docquarry.sources.files import read_documents, scan_inventory, scan_partitions, with_row_counts
+from docquarry.sources.files import read_documents, row_counts, scan_inventory, scan_partitions
 from docquarry.sources.taxonomy_xml import read_taxonomy_entries
 from docquarry.streaming.ingest import merge_days
 
@@ -143,11 +143,18 @@ def test_an_interrupted_publish_is_done_again(spark, tmp_path, monkeypatch):
 
 
 def test_an_unknown_store_is_an_error_and_a_broken_file_is_not(spark, tmp_path):
-    (tmp_path / "bad.parquet").write_bytes(b"no parquet at all")
-    paths = spark.createDataFrame([(f"file://{tmp_path}/bad.parquet",)], "path string")
-    assert [r.num_rows for r in with_row_counts(paths).collect()] == [None]
+    odd = tmp_path / "a b%20c" / "run=2024-01-28T06%3A00+1"
+    odd.mkdir(parents=True)
+    (odd / "bad.parquet").write_bytes(b"no parquet at all")
+    (odd / "huge.parquet").write_bytes(bytes(17 << 20))
+    pq.write_table(pa.table({"x": [1, 2, 3]}), odd / "some.parquet")
+    pq.write_table(pa.table({"y": pa.array([], pa.string())}), odd / "none.parquet")
+    got = {r.path.split("/")[-1]: r.num_rows for r in row_counts(spark, str(tmp_path)).collect()}
+    assert got == {"bad.parquet": None, "huge.parquet": None, "some.parquet": 3, "none.parquet": 0}
+    only = row_counts(spark, str(tmp_path), only=lambda path: path.contains("%3A00+1/") & path.endswith("me.parquet"))
+    assert [r.num_rows for r in only.collect()] == [3]
     with pytest.raises(Exception):
-        with_row_counts(spark.createDataFrame([("nowhere9://b/x.parquet",)], "path string")).collect()
+        row_counts(spark, "nowhere9://b/").collect()
 
 
 def test_a_day_with_most_rows_is_split_over_files(spark, tmp_path):
@@ -177,7 +184,14 @@ def test_publishing_unchanged_days_writes_nothing(spark, tmp_path):
     assert set(publish(docs, "2").values()) == {"unchanged"}
     assert before == sorted((r, f) for r, _, fs in os.walk(target) for f in fs if f.endswith(".parquet"))
     changed = docs.withColumn("lang", F.when(F.col("lang").isNull(), "x").otherwise(F.col("lang")))
-    assert publish(changed.filter("day > '2024-01-01'"), "3") == {"2024-01-01": "gone", "2024-01-02": "changed"}
+    # The text of a run's label decides nothing: these sort against the order of time.
+    assert publish(changed.filter("day > '2024-01-01'"), "2-stream") == {"2024-01-01": "gone", "2024-01-02": "changed"}
+    assert publish(docs.limit(0), "1") == {"2024-01-02": "gone"}
+    assert publish(docs.limit(0), "0") == {}
+    assert publish(docs.filter("day = '2024-01-01'"), "stream-9") == {"2024-01-01": "new"}
+    assert publish(docs.filter("day = '2024-01-01'"), "2024-01") == {"2024-01-01": "unchanged"}
+    log = {r.day: (r.seq, r.run, r.gone) for r in published_partitions(spark, str(tmp_path / "digests")).collect()}
+    assert log == {"2024-01-01": (5, "stream-9", False), "2024-01-02": (4, "1", True)}
 
 
 def test_publishing_touched_days_leaves_the_others_as_they_were(spark, tmp_path):
