@@ -17,9 +17,9 @@ import pyarrow as pa
 
 from docquarry.llm.words import span_hashes, text_bytes
 
-#: Chunks, and ids of chunks, that a worker remembers, about 50 MB; beyond, it forgets them all and goes on.
-REMEMBERED = 1_000_000
-REMEMBERED_IDS = 4_000_000
+#: Chunks, and ids of chunks, that a worker remembers, about 100 MB; beyond, it forgets them all and goes on.
+REMEMBERED = 2_000_000
+REMEMBERED_IDS = 8_000_000
 
 _OTHER_BYTES = np.random.default_rng(20250117).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
