@@ -13,6 +13,7 @@ from docquarry.schemas import BINDING_VARIABLES
 from docquarry.settings import shared_dir
 from docquarry.sinks.daily import Corpus, planned_days, read_days, read_problems, read_ranges, sql_over_days, write_days, write_ranges
 from docquarry.sinks.publish import publish_changes
+from docquarry.sinks.upkeep import compact_manifest, drop_superseded
 from docquarry.sources.bindings import read_bindings, stream_bindings
 from docquarry.sources.files import scan_partitions, sql_over_files
 from docquarry.sources.tables import stored
@@ -49,6 +50,14 @@ def daily_write_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_days(spark, corpus, docs.schema)
 
 
+def clean_up_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """After two states: the files of the older go, the manifest becomes one file, and the rows read are the same."""
+    corpus, docs = _write_twice(spark, sf_dir)
+    drop_superseded(spark, corpus, shared_dir(spark, "dropped"))
+    compact_manifest(spark, corpus)
+    return read_days(spark, corpus, docs.schema)
+
+
 def empty_day_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last day fails, the gaps are empty, all others have rows."""
     corpus = Corpus(shared_dir(spark, "corpus"))
@@ -213,6 +222,7 @@ QUERIES = {
         with_fixtures("docs", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs"),
         "O1 O3",
     ),
+    "clean_up_roundtrip": Query(clean_up_roundtrip, with_fixtures("docs", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs"), "O1 O3"),
     "crashed_run": Query(crashed_run, with_fixtures("docs_before", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs_before"), "O1 O3"),
     "stream_then_lookback": Query(stream_then_lookback, with_fixtures("docs", "SELECT ord, url, celex, date, lang, text, date AS day, 'all' AS scope FROM docs"), "O1 O3"),
     "stream_over_mined_days": Query(
