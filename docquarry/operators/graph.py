@@ -195,6 +195,21 @@ def work_dates(quads: DataFrame, works: DataFrame, vocabulary: Vocabulary = VOCA
     return _merge_sets(dated, ("work", "date"), _WORK_SETS)
 
 
+def _in_language(quads: DataFrame, idents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(g, exp) of the expressions in a language of ``idents`` (o, ident)."""
+    uses = pattern(quads, vocabulary.language).select("g", F.col("s").alias("exp"), "o")
+    return uses.join(idents, "o", "left_semi").select("g", "exp")
+
+
+def works_in_language(quads: DataFrame, works: DataFrame, lang: str, vocabulary: Vocabulary = VOCABULARY) -> DataFrame:
+    """Those of ``works`` (work) that have an expression in a language; no other gives rows of that language."""
+    v = vocabulary
+    idents = pattern(quads, v.identifier).filter(F.col("o") == lang).select(F.col("s").alias("o"))
+    belongs = pattern(quads, v.expression_work).select("g", F.col("s").alias("exp"), F.col("o").alias("work"))
+    spoken = _among(belongs, works).join(_in_language(quads, idents, v), ["g", "exp"], "left_semi")
+    return _among(works, spoken.select("work"))
+
+
 def work_languages(
     quads: DataFrame, works: DataFrame, lang: str | None = None, vocabulary: Vocabulary = VOCABULARY
 ) -> DataFrame:
@@ -204,7 +219,9 @@ def work_languages(
     belongs = _among(belongs, works)
     idents = pattern(quads, v.identifier).select(F.col("s").alias("o"), F.col("o").alias("ident")).distinct()
     if lang is not None:
+        # The language acts first: of other expressions neither titles nor manifestations are looked up.
         idents = idents.filter(F.col("ident") == lang)
+        belongs = belongs.join(_in_language(quads, idents, v), ["g", "exp"], "left_semi")
 
     # Titles and languages come from one scan; a language is replaced by its identifier.
     found = pattern(quads, v.title, v.language).select("g", F.col("s").alias("exp"), "p", "o")

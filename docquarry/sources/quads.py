@@ -1,6 +1,7 @@
-"""Quads stored by predicate, so that a triple pattern reads its own partition only."""
+"""Quads stored by predicate, so that a triple pattern reads its own partition only; optionally in buckets of the subject."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docquarry.schemas import QUAD_SCHEMA
 
@@ -16,3 +17,33 @@ def write_quads(quads: DataFrame, path: str) -> None:
 
 def read_quads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QUAD_SCHEMA).parquet(path)
+
+
+def heaviest_bucket(quads: DataFrame, buckets: int) -> float:
+    """Rows of the fullest of so many buckets over those of an average one; 0 without quads."""
+    sizes = quads.groupBy(F.pmod(F.hash("s"), F.lit(buckets)).alias("b")).agg(F.count("*").alias("n"))
+    most, total = sizes.agg(F.max("n"), F.sum("n")).first()
+    return most * buckets / total if total else 0.0
+
+
+def write_quads_by_subject(quads: DataFrame, table: str, path: str, buckets: int, most: float = 4.0) -> None:
+    """``write_quads`` with each predicate in buckets of the subject, as the catalog's ``table`` at ``path``.
+
+    All that is grouped or joined by subject is then where it is needed, for every predicate alike. One task
+    reads one bucket, and adaptive execution can't split it: a subject that holds much of the data makes
+    a bucket that does. Where the fullest bucket has over ``most`` times the average, nothing is written and it is an
+    error; ``write_quads`` has no such limit.
+    """
+    if (heaviest := heaviest_bucket(quads, buckets)) > most:
+        raise ValueError(f"the fullest bucket of subjects has {heaviest:.1f} times the average: store these quads by predicate only")
+    placed = quads.select(*QUAD_SCHEMA.fieldNames()).hint("rebalance", buckets, "s")
+    placed.write.mode("overwrite").option("path", path).partitionBy("p").bucketBy(buckets, "s").sortBy("o").saveAsTable(table)
+
+
+def attach_quads_by_subject(spark: SparkSession, table: str, path: str, buckets: int) -> DataFrame:
+    """Name stored subject buckets in a catalog that does not know them, as that of another application."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in QUAD_SCHEMA)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet PARTITIONED BY (p) CLUSTERED BY (s) SORTED BY (o) INTO {buckets} BUCKETS LOCATION '{location}'")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    return spark.table(table)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from docquarry.settings import shared_dir
 from docquarry.sources.buckets import read_payloads, write_payloads
-from docquarry.sources.quads import read_quads, write_quads
+from docquarry.sources.quads import read_quads, write_quads, write_quads_by_subject
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -228,6 +228,19 @@ def landed_quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_quads(spark, _once(spark, sf_dir, "quads", lambda path: write_quads(fixture(spark, sf_dir, "quads"), path)))
 
 
+def landed_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quads fixture in buckets of the subject, a table of the catalog."""
+
+    def write(path: str) -> None:
+        write_quads_by_subject(fixture(spark, sf_dir, "quads"), _table_name(path), path, 16)
+
+    return spark.table(_table_name(_once(spark, sf_dir, "quads_by_subject", write)))
+
+
+def _table_name(path: str) -> str:
+    return path.rsplit("/", 1)[1].replace("-", "_")
+
+
 def landed_payloads(spark: SparkSession, sf_dir: str, name: str = "payloads") -> DataFrame:
     """A payloads fixture as the stored table that jobs read, in buckets."""
     rows = fixture(spark, sf_dir, name).withColumn("content", F.col("content").cast("binary"))

@@ -9,8 +9,10 @@ from docquarry.functions.cells import join_cell
 from docquarry.operators import graph
 from docquarry.operators.shape import binding_lists, quarantine_rows, shape_documents, shape_rows, subject_terms
 from docquarry.operators.taxonomy import current_taxonomy, taxonomy_keys, unmatched_terms
+from docquarry.settings import shared_dir
+from docquarry.sources.tables import stored
 from queries import Query
-from queries.fixtures import fixture, landed_quads, with_fixtures
+from queries.fixtures import fixture, landed_quads, landed_subjects, with_fixtures
 from queries.text_queries import STRIP_WS
 
 START, END = "1995-01-01", "2001-07-01"
@@ -29,6 +31,17 @@ def lang_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.as_bindings(graph.assemble_metadata(_quads(spark, sf_dir), START, END, lang="FRA"))
 
 
+def assemble_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Over quads in subject buckets, where a work's properties meet without a shuffle."""
+    return graph.as_bindings(graph.assemble_metadata(landed_subjects(spark, sf_dir), START, END))
+
+
+def lang_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
+    quads = landed_subjects(spark, sf_dir)
+    works = graph.works_in_language(quads, graph.dated_works(quads, START, END), "FRA")
+    return graph.as_bindings(graph.assemble_metadata(quads, START, END, "FRA", works=stored(works, shared_dir(spark, "works"))))
+
+
 def metadata_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = graph.metadata_by_window(_quads(spark, sf_dir), TODAY, TOTAL_DAYS, STEP)
     return rows.select(
@@ -219,6 +232,8 @@ FROM listed b JOIN mapped USING (cellarURIs)"""
 QUERIES = {
     "assemble_metadata": Query(assemble_metadata, _assembled(), "S3 G1-G6 G8-G12 F1 F2 D5"),
     "lang_filtered": Query(lang_filtered, _assembled("WHERE lang_id = 'FRA'"), "G7"),
+    "assemble_by_subject": Query(assemble_by_subject, _assembled(), "S3 G1-G6 G8-G12 F1 F2 D5"),
+    "lang_by_subject": Query(lang_by_subject, _assembled("WHERE lang_id = 'FRA'"), "G7"),
     "metadata_by_window": Query(metadata_by_window, with_fixtures("quads", _BY_WINDOW_SQL), "G1 W1 W2 O1"),
     "window_works": Query(
         window_works,

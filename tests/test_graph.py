@@ -3,11 +3,13 @@
 import random
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from docquarry.operators import graph
 from docquarry.schemas import QUAD_SCHEMA
-from docquarry.sources.quads import read_quads, write_quads
+from docquarry.sources.quads import attach_quads_by_subject, heaviest_bucket, read_quads, write_quads, write_quads_by_subject
+from docquarry.sources.tables import stored
 from queries.graph_queries import _ASSEMBLED_SQL
 from tests.compare import _rows, difference, spark_rows
 
@@ -156,3 +158,53 @@ def test_repeated_quads_of_one_work_change_nothing(spark):
     plain = spark_rows(graph.as_bindings(graph.assemble_metadata(quads, "2024-01-01", "2024-01-03")))
     skewed = spark_rows(graph.as_bindings(graph.assemble_metadata(quads.unionByName(copies), "2024-01-01", "2024-01-03")))
     assert difference(skewed, plain) == ""
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_subject_buckets_give_the_same_with_fewer_shuffles(spark, plan_of, tmp_path, broadcast):
+    rows = [r for seed in (2, 8) for r in random_quads(seed, 30)]
+    rows = list(dict.fromkeys(rows))
+    quads = spark.createDataFrame(rows, QUAD_SCHEMA)
+    name = f"subject_quads_{broadcast}".lower()
+    write_quads_by_subject(quads, name, str(tmp_path / "by_subject"), 4)
+    write_quads(quads, str(tmp_path / "by_predicate"))
+    attached = attach_quads_by_subject(spark, f"{name}_again", str(tmp_path / "by_subject"), 4)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        if not broadcast:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        shuffles = {}
+        for lang, where in ((None, ""), ("FRA", "WHERE lang_id = 'FRA'")):
+            for layout, source in (("subject", spark.table(name)), ("attached", attached), ("predicate", read_quads(spark, str(tmp_path / "by_predicate")))):
+                works = stored(graph.dated_works(source, "2024-01-01", "2024-01-03"), str(tmp_path / f"{layout}-{lang}-works"))
+                if lang:
+                    works = stored(graph.works_in_language(source, works, lang), str(tmp_path / f"{layout}-spoken"))
+                made = graph.as_bindings(graph.assemble_metadata(source, "2024-01-01", "2024-01-03", lang, works=works))
+                assert difference(spark_rows(made), expected(rows, where)) == "", (layout, lang)
+                shuffles[layout, lang] = sum("hashpartitioning(" in line for line in plan_of(made).splitlines())
+        for lang in (None, "FRA"):
+            assert shuffles["subject", lang] == shuffles["attached", lang] < shuffles["predicate", lang] * (0.4 if broadcast else 0.8), shuffles
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        spark.sql(f"DROP TABLE {name}")
+        spark.sql(f"DROP TABLE {name}_again")
+
+
+def test_works_without_the_language_are_left_out_early(spark):
+    rows = random_quads(9, 20)
+    quads = spark.createDataFrame(rows, QUAD_SCHEMA)
+    works = graph.dated_works(quads, "2024-01-01", "2024-01-03")
+    spoken = {r.work for r in graph.works_in_language(quads, works, "DEU").collect()}
+    exps = {(g, s) for g, s, p, o, _ in rows if p == V.language and o == "lang2"}
+    of = {o for g, s, p, o, _ in rows if p == V.expression_work and (g, s) in exps}
+    assert spoken == of & {r.work for r in works.collect()} and graph.works_in_language(quads, works, "XXX").count() == 0
+
+
+def test_a_subject_with_a_third_of_all_quads_gets_no_buckets(spark, tmp_path):
+    rows = random_quads(2, 40)
+    hot = rows + [("g1", "w1", V.subject, f"sub{i}", None) for i in range(len(rows) // 2)]
+    quads = spark.createDataFrame(hot, QUAD_SCHEMA)
+    assert heaviest_bucket(spark.createDataFrame(rows, QUAD_SCHEMA), 16) < 4 < heaviest_bucket(quads, 16)
+    with pytest.raises(ValueError, match="by predicate"):
+        write_quads_by_subject(quads, "hot_quads", str(tmp_path / "hot"), 16)
+    assert heaviest_bucket(quads.limit(0), 16) == 0
