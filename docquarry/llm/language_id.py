@@ -21,6 +21,8 @@ from docquarry.llm.common import Scratch, bounded_batches, fold
 from docquarry.llm.words import LOWER, text_bytes, text_slices
 
 BUCKET_BITS = 15
+#: Ids ranked for the sample, over those it takes: more than the rough counts are out by.
+SPARE = 4
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
@@ -75,7 +77,13 @@ def subwords(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _sample(docs: DataFrame, params: LanguageParams) -> list:
     learn = F.coalesce(fold("doc_id", params.folds) != params.held_out, F.lit(False)) & F.col("lang").isNotNull()
     first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = docs.where(learn).select("doc_id", "lang").distinct()
+    # Ids come in the order of their hash. A bound on it, from the languages' counts, leaves a few times the
+    # sample to be ranked, however many ids a language and tasks there are; the counts may be rough for that.
+    counts = docs.where(learn).groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("ids"))
+    share = F.lit(SPARE * params.most_per_language) / F.col("ids")
+    near = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5 <= F.col("share")
+    shares = Scratch(docs.sparkSession, "language-id").keep(counts.select("lang", share.alias("share")))
+    chosen = docs.where(learn).select("doc_id", "lang").join(shares, "lang").where(near).select("doc_id", "lang").distinct()
     chosen = chosen.withColumn("at", F.row_number().over(first)).where(F.col("at") <= params.most_per_language).drop("at")
     # Written, its size is known: a few rows are broadcast, and the texts stay where they are.
     chosen = Scratch(docs.sparkSession, "language-id").keep(chosen)
@@ -93,7 +101,10 @@ def _sample(docs: DataFrame, params: LanguageParams) -> list:
                 )
 
     joined = docs.join(chosen, ["doc_id", "lang"]).select("doc_id", "lang", "text")
-    rows = joined.mapInArrow(run, "lang string, at long, buckets array<int>, counts array<int>").collect()
+    found = joined.mapInArrow(run, "lang string, at long, buckets array<int>, counts array<int>")
+    # One row per chosen id, whatever number of rows repeat it; less than any other, so that runs agree.
+    rows = found.where(F.size("buckets") > 0).groupBy("lang", "at").agg(F.min(F.struct("buckets", "counts")).alias("one"))
+    rows = rows.select("lang", "at", "one.buckets", "one.counts").collect()
     return sorted((r for r in rows if r.buckets), key=lambda r: (r.at, r.lang))
 
 

@@ -104,7 +104,9 @@ def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> tuple
                 yield pa.record_batch([part.column("doc_id"), part.column("toxic"), part.column("free"), pa.array(blobs, pa.binary())], schema=schema)
 
     joined = docs.join(chosen, "doc_id").select("doc_id", "toxic", "free", "text")
-    rows = joined.mapInArrow(run, "doc_id long, toxic int, free boolean, features binary").collect()
+    found = joined.mapInArrow(run, "doc_id long, toxic int, free boolean, features binary")
+    # One row per chosen id, whatever number of rows repeat it; less than any other, so that runs agree.
+    rows = found.groupBy("doc_id").agg(F.min(F.struct("toxic", "free", "features")).alias("one")).select("doc_id", "one.*").collect()
     return sorted(rows, key=lambda r: (r.doc_id, r.features)), (counts.get(0, 0), counts.get(1, 0))
 
 
