@@ -37,8 +37,14 @@ NOTICES = (
     Template("apache-2.0", "licensed under the apache license version 2 0"),
     Template("apache-2.0", "you may not use this file except in compliance with the license you may obtain a copy of the license at"),
     Template("mit", "released under the mit license"),
+    Template("apache-2.0", "apache license version 2 0"),
+    Template("apache-2.0", "spdx license identifier apache 2 0"),
+    Template("mit", "mit license"),
+    Template("mit", "spdx license identifier mit"),
+    Template("mit", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
     Template("gpl-3.0", "this work is licensed under the gnu general public license version 3"),
+    Template("gpl-3.0", "gnu gpl v3"),
     Template("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
     Template("lgpl", "under the terms of the gnu lesser general public license as published by the free software foundation"),
     Template("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
@@ -102,9 +108,11 @@ def _spans(texts: DataFrame, templates: Sequence[Template], params: LicenseParam
     lines = votes.groupBy(*key, "diagonal").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.collect_set("place").alias("places"))
     exact = lines.where("exact AND size(places) = n_pairs").select(*key, "first", "last", F.lit(1.0).alias("covered"))
 
-    in_text = Window.partitionBy("doc_id", "text_key", "template").orderBy("first", "diagonal")
-    before = F.max("last").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-    apart = before.isNull() | (F.col("first") - before > params.shift + 1) | (F.abs(F.col("diagonal") - F.lag("diagonal").over(in_text)) > params.shift)
+    # Diagonals are grouped by their distance alone: one that a repeated pair of the template votes for lies
+    # apart from its neighbours in number, wherever in the text it stands, and so splits no span.
+    in_text = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
+    beside = F.lag("diagonal").over(in_text)
+    apart = beside.isNull() | (F.col("diagonal") - beside > params.shift)
     merged = lines.where("NOT exact").withColumn("span", F.sum(apart.cast("int")).over(in_text))
     merged = merged.groupBy(*key, "span").agg(
         F.min("first").alias("first"), F.max("last").alias("last"), (F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.first("n_pairs")).alias("covered")

@@ -206,13 +206,10 @@ lines AS (
     FROM votes GROUP BY ALL
 ),
 placed AS (
-    SELECT *, max(l) OVER (PARTITION BY doc_id, template ORDER BY f, diagonal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before,
-        lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY f, diagonal) AS beside
-    FROM lines WHERE NOT exact
+    SELECT *, lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS beside FROM lines WHERE NOT exact
 ),
 numbered AS (
-    SELECT *, sum(CASE WHEN before IS NULL OR f - before > 4 OR abs(diagonal - beside) > 3 THEN 1 ELSE 0 END)
-        OVER (PARTITION BY doc_id, template ORDER BY f, diagonal) AS span
+    SELECT *, sum(CASE WHEN beside IS NULL OR diagonal - beside > 3 THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span
     FROM placed
 ),
 merged AS (

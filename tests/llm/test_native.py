@@ -3,7 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from docquarry.llm.license_scan import Template, license_spans, scan_licenses
+from docquarry.llm.license_scan import NOTICES, Template, license_spans, scan_licenses
 from docquarry.llm.queries import QUERIES
 from docquarry.llm.spot_signatures import spot_duplicates
 
@@ -63,6 +63,36 @@ def test_neighbouring_diagonals_are_merged(spark):
     assert sorted((r.doc_id, r.first_word, r.last_word) for r in found) == [(1, 1, 10), (2, 0, 10), (3, 0, 8), (6, 0, 9), (6, 10, 19)]
 
 
+def test_a_pair_that_the_template_repeats_splits_no_span(spark):
+    """One word put in, or one left out, at every place of every notice: the notice is still found, whole."""
+    rows, wanted = [], {}
+    for t in (n for n in NOTICES if len(n.text.split()) >= 15):
+        words = t.text.split()
+        for at in range(1, len(words)):
+            for changed in ([*words[:at], "x", *words[at:]], [*words[:at], *words[at + 1 :]]):
+                wanted[len(rows)] = t.label, len(changed)
+                rows.append((len(rows), " ".join(["before", *changed, "after"])))
+    found = {}
+    for r in license_spans(spark.createDataFrame(rows, "doc_id long, text string"), NOTICES).collect():
+        found.setdefault(r.doc_id, []).append((r.label, r.first_word, r.last_word))
+    lost = [i for i, (label, n) in wanted.items() if not any(f[0] == label and f[1] <= 3 and f[2] >= n - 2 for f in found.get(i, []))]
+    assert len(rows) > 200 and lost == []
+
+
+def test_short_notices(spark):
+    texts = {
+        "MIT License": "mit",
+        "Apache License, Version 2.0": "apache-2.0",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2.0",
+        "SPDX-License-Identifier: MIT": "mit",
+        "GNU GPL v3": "gpl-3.0",
+        "SPDX-License-Identifier: ISC": "",
+        "a licence to publish, version 2.0": "",
+    }
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r.doc_id]: r.labels for r in rows} == texts
+
+
 def check_spots(rows, docs):
     order = sorted(((i, t or "") for i, t in docs), key=lambda d: (d[0] is not None, d[0] or 0, d[1]))
     want = {}
