@@ -7,9 +7,11 @@ document is projected onto them and compared by cosine with the benchmark items
 Candidates whose words in common weigh enough are then checked on their words: the longest common subsequence with the item must cover
 most of it, or, for a paraphrase, half of it and hold the item's answer.
 
-Edits may move a window away from its item in the latent space, so the cosine alone does not decide
-what is checked. A region that passes the check must also hold enough of the item's rare words: an
-index of these (``_Probes``) gives every other region that can pass, whatever its cosine.
+The cosine a candidate needs is set for each item by its length and scale (``_bounds``): edits that
+the check still accepts are drawn at random, and the bound lies under the cosines of their windows.
+Edits of another kind may move a window farther away. A region that passes the check must hold
+enough of the item's rare words, so an index of these (``_Probes``) names the regions that could pass;
+of them only windows are added that the latent space has lost, and such finds are marked.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import Scratch, bounded_batches, summed
@@ -32,14 +34,19 @@ SCALES = (8, 16, 32, 64, 128)
 
 @dataclass(frozen=True)
 class ContaminationParams:
-    """``cosine``: of candidates of the latent space. ``copied``: share of an item's words in common order that is a copy.
+    """``cosine``, ``least_cosine``: the range of the bounds of candidates of the latent space, each the least
+    of ``draws`` random edits. ``copied``: share of an item's words in common order that is a copy.
 
     ``paraphrased``: the share that is enough together with the answer, the ``answer`` column if
-    there is one, else the item's ``rarest`` rarest words. ``block``: items a pass compares with.
+    there is one, else the item's ``rarest`` rarest words. ``block``: items a pass compares with, on average.
+    ``latent``: without it only what the index adds is returned.
     """
 
     rank: int = 48
     cosine: float = 0.65
+    least_cosine: float = 0.4
+    draws: int = 48
+    latent: bool = True
     copied: float = 0.75
     paraphrased: float = 0.5
     rarest: int = 3
@@ -164,8 +171,8 @@ class _Items:
     has: np.ndarray
     #: The scales of each item's parts.
     scales: list[set[int]]
-    #: Per scale: the item of each query vector, and the vectors.
-    queries: dict[int, tuple[np.ndarray, np.ndarray]]
+    #: Per scale: the item of each query vector, the vectors, and the cosine a candidate of each needs.
+    queries: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     probes: _Probes
 
 
@@ -250,8 +257,37 @@ def _windows_to_check(hashes: np.ndarray, borders: np.ndarray, items: _Items, pa
     return out
 
 
+def _bound(part: np.ndarray, answer: np.ndarray, scale: int, vector: np.ndarray, idf: np.ndarray, weighted: np.ndarray, drawn: np.ndarray, params: ContaminationParams) -> float:
+    """The cosine that windows of ``scale`` over edited copies of the terms ``part`` keep to ``vector``.
+
+    Half of the copies keep the share of a copy, half that of a paraphrase and the answer; what they
+    lose, and what stands around them, are terms of the corpus (``drawn``, a row a copy). Windows begin
+    at multiples of a quarter of their length, so the best one is off by an eighth at most.
+    """
+    n, n_copies = len(part), len(drawn)
+    rng = np.random.default_rng(n)
+    rank = np.argsort(np.argsort(rng.random((n_copies, n)), 1), 1)
+    least = np.where(np.arange(n_copies) % 2 == 0, params.copied, params.paraphrased)
+    kept = rank < np.ceil(least * n)[:, None]
+    kept |= np.isin(part, answer) & (np.arange(n_copies) % 2 == 1)[:, None]
+    text = drawn[:, : n + 2 * scale].copy()
+    text[:, scale : scale + n] = np.where(kept, part, text[:, scale : scale + n])
+    off = rng.integers(-(scale // 8), scale // 8 + 1, n_copies)
+    first = scale + (n - scale) // 2 + off
+    windows = np.take_along_axis(text, first[:, None] + np.arange(scale), 1)
+    found = weighted[windows].sum(1)
+    cosines = found @ vector / np.maximum(1e-9, np.linalg.norm(found, axis=1))
+    return float(np.clip(cosines.min(), params.least_cosine, params.cosine))
+
+
 def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: ContaminationParams) -> _Items:
     ids, words, answers, vectors, scales = [], [], [], {}, []
+    weighted = (projection * idf[:, None]).astype(np.float32)
+    # Terms as often as passages of the corpus have them; those of none, never.
+    often = np.exp(-idf) - np.exp(-idf.max())
+    shares = np.cumsum(often) / often.sum() if often.sum() > 0 else np.arange(1, len(idf) + 1) / len(idf)
+    drawn = np.random.default_rng(7).random((params.draws, 2 * SCALES[-1] + 2 * SCALES[-1]))
+    drawn = np.minimum(np.searchsorted(shares, drawn), len(idf) - 1)
     for row in rows:
         hashes, borders = _word_hashes(pa.array([row.text, row.answer], pa.string()))
         item, answer = hashes[: borders[1]], hashes[borders[1] :]
@@ -265,7 +301,9 @@ def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: Contamin
         scales.append({_scale(len(part)) for part in np.array_split(terms, n_parts)})
         for part in np.array_split(terms, n_parts):
             vector = idf[part] @ projection[part]
-            vectors.setdefault(_scale(len(part)), []).append((len(ids), vector / max(1e-9, np.linalg.norm(vector))))
+            vector, scale = vector / max(1e-9, np.linalg.norm(vector)), _scale(len(part))
+            bound = _bound(part, _terms(answer), scale, vector, idf, weighted, drawn, params)
+            vectors.setdefault(scale, []).append((len(ids), vector, bound))
         ids.append(row.item_id)
         words.append(item.tolist())
         answers.append(answer.tolist())
@@ -275,7 +313,7 @@ def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: Contamin
         terms = _terms(np.array(item, np.uint64))
         has[i, terms] = True
         weights[i] = idf[terms].sum()
-    queries = {s: (np.array([i for i, _ in v]), np.array([x for _, x in v], np.float32)) for s, v in vectors.items()}
+    queries = {s: (np.array([i for i, _, _ in v]), np.array([x for _, x, _ in v], np.float32), np.array([b for _, _, b in v], np.float32)) for s, v in vectors.items()}
     return _Items(ids, words, answers, np.array([len(w) for w in words]), weights, has, scales, queries, _probes(words, answers, scales, idf, params))
 
 
@@ -290,7 +328,7 @@ def _overlaps(terms: np.ndarray, idf: np.ndarray, items: _Items, starts: np.ndar
 
 
 def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.ndarray, weighted: np.ndarray, params: ContaminationParams) -> Iterator[tuple]:
-    """(row, item, start, end, cosine, share, answered) of the texts' windows that match an item."""
+    """(row, item, start, end, cosine, share, answered, by_index) of the texts' windows that match an item."""
     terms = _terms(hashes)
     # Texts are padded to whole numbers of the largest step, so sums over steps never mix two texts.
     largest = SCALES[-1] // 4
@@ -307,7 +345,7 @@ def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.nda
         of_step[step] = sums
     checked: dict[tuple[int, int], list[tuple]] = {}
     probed = _windows_to_check(hashes, borders, items, params)
-    for scale, (owner, queries) in items.queries.items():
+    for scale, (owner, queries, bounds) in items.queries.items():
         step = scale // 4
         sums = of_step[step]
         # Steps that hold a word, by text and number within it.
@@ -325,9 +363,9 @@ def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.nda
         # A window that only repeats the end of the one before adds nothing.
         use = np.flatnonzero((nth == 0) | (left >= 4))
         window = window[use] / np.maximum(1e-9, np.linalg.norm(window[use], axis=1, keepdims=True))
-        for lo in range(0, len(use), 8192):
+        for lo in range(0, len(use) if params.latent else 0, 8192):
             near = window[lo : lo + 8192] @ queries.T
-            at, q = np.nonzero(near >= params.cosine)
+            at, q = np.nonzero(near >= bounds)
             k, of = use[lo + at], owner[q]
             fits = np.zeros(len(k), bool)
             for a in range(0, len(k), 16384):
@@ -337,24 +375,30 @@ def _matches(hashes: np.ndarray, borders: np.ndarray, items: _Items, idf: np.nda
                 item = int(owner[q])
                 margin = _margin(len(items.words[item]))
                 a, b = max(int(borders[row]), int(starts[k]) - margin), min(int(ends[k]), int(starts[k]) + scale + margin)
-                checked.setdefault((row, item), []).append((float(near[at, q]), a, b))
+                checked.setdefault((row, item), []).append((float(near[at, q]), False, a, b))
         for row, item, a, b in probed.get(scale, ()):
             margin, begin, end = _margin(len(items.words[item])), int(borders[row]), int(borders[row + 1])
             places = np.searchsorted(use, first[row] + np.arange(a, b + 1))
-            cosines = (window[places] @ queries[owner == item].T).max(1)
-            for k, cosine in zip(range(a, b + 1), cosines.tolist()):
-                at = begin + k * step
-                checked.setdefault((row, item), []).append((cosine, max(begin, at - margin), min(end, at + scale + margin)))
+            near = window[places] @ queries[owner == item].T
+            k = use[places]
+            candidate = (near >= bounds[owner == item]).any(1)
+            candidate &= _overlaps(terms, idf, items, starts[k], ends[k], np.full(len(k), item), scale, params)
+            regions = [(cosine, True, max(begin, at - margin), min(end, at + scale + margin)) for at, cosine in zip(starts[k].tolist(), near.max(1).tolist())]
+            # A run with a candidate that passes is the latent space's; of the others, what it did not see is added.
+            found = (_passes(items.words[item], items.answers[item], hashes[regions[i][2] : regions[i][3]].tolist(), params)[0] for i in np.flatnonzero(candidate))
+            if not any(found):
+                checked.setdefault((row, item), []).extend(regions[i] for i in np.flatnonzero(~candidate))
     for (row, item), regions in checked.items():
         best = None
-        for cosine, a, b in sorted(set(regions), reverse=True):
+        for cosine, by_index, a, b in sorted(set(regions), reverse=True):
             region = hashes[a:b].tolist()
             passes, share, answered = _passes(items.words[item], items.answers[item], region, params)
             if passes:
-                best = max(best or (-1.0,), (share, cosine, answered, a - int(borders[row]), b - int(borders[row])))
+                # What the latent space has found counts before what the index adds.
+                best = max(best or (False, -1.0), (not by_index, share, cosine, answered, a - int(borders[row]), b - int(borders[row])))
         if best:
-            share, cosine, answered, a, b = best
-            yield row, items.ids[item], a, b, cosine, share, answered
+            latent, share, cosine, answered, a, b = best
+            yield row, items.ids[item], a, b, cosine, share, answered, not latent
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, params: ContaminationParams = ContaminationParams()) -> DataFrame:
@@ -362,7 +406,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: ContaminationPa
 
     One row per document and item: ``doc_id``, ``item_id``, ``start_word`` and ``end_word`` (the
     region of the best match, words from 0, end exclusive), ``cosine``, ``share`` (of the item's
-    words in common order), ``answered``. Every item is held against every window of every text, in blocks
+    words in common order), ``answered``, ``by_index`` (the latent space gave no window that passes, the index
+    did). Every item is held against every window of every text, in blocks
     of items, so memory does not grow with the benchmark.
 
     Defined cases: a null or blank text matches nothing, nor does an item without a word. Null ids
@@ -375,11 +420,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: ContaminationPa
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     answer = F.col("answer").cast("string") if "answer" in benchmark.columns else F.lit(None).cast("string")
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"), answer.alias("answer"))
-    items = scratch.keep(items.withColumn("block", F.floor((F.row_number().over(Window.orderBy("item_id", "text")) - 1) / params.block)))
+    # Rows that repeat all of an item give the same finds, so each is taken once; the hash parts what differs.
+    items = scratch.keep(items.distinct())
+    n_blocks = max(1, -(-items.count() // params.block))
+    items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text", "answer"), F.lit(n_blocks)))
     idf, projection = term_space(scratch.keep(_term_table(docs)), params.rank)
     weighted = (projection * idf[:, None]).astype(np.float32)
     schema = pa.schema(
-        [("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answered", pa.bool_())]
+        [("doc_id", pa.int64()), ("item_id", pa.int64()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("cosine", pa.float64()), ("share", pa.float64()), ("answered", pa.bool_()), ("by_index", pa.bool_())]
     )
 
     def of_block(rows: list) -> DataFrame:
@@ -396,11 +444,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, params: ContaminationPa
                     columns = list(zip(*found)) or [[] for _ in schema]
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
-        return docs.mapInArrow(run, "doc_id long, item_id long, start_word long, end_word long, cosine double, share double, answered boolean")
+        return docs.mapInArrow(run, "doc_id long, item_id long, start_word long, end_word long, cosine double, share double, answered boolean, by_index boolean")
 
-    last = items.agg(F.max("block")).first()[0]
     out = of_block(items.where("block = 0").collect())
-    for block in range(1, (last or 0) + 1):
+    for block in range(1, n_blocks):
         out = out.unionByName(of_block(items.where(F.col("block") == block).collect()))
     return out.distinct()
 
