@@ -34,8 +34,8 @@ SCALES = (8, 16, 32, 64, 128)
 
 @dataclass(frozen=True)
 class ContaminationParams:
-    """``cosine``, ``least_cosine``: the range of the bounds of candidates of the latent space, each the least
-    of ``draws`` random edits. ``copied``: share of an item's words in common order that is a copy.
+    """``cosine``, ``least_cosine``: the range of the bounds of candidates of the latent space, each under the
+    cosines of the share ``recalled`` of ``draws`` random edits. ``copied``: share of an item's words in common order that is a copy.
 
     ``paraphrased``: the share that is enough together with the answer, the ``answer`` column if
     there is one, else the item's ``rarest`` rarest words. ``block``: items a pass compares with, on average.
@@ -45,7 +45,8 @@ class ContaminationParams:
     rank: int = 48
     cosine: float = 0.65
     least_cosine: float = 0.4
-    draws: int = 48
+    draws: int = 64
+    recalled: float = 0.95
     latent: bool = True
     copied: float = 0.75
     paraphrased: float = 0.5
@@ -277,7 +278,7 @@ def _bound(part: np.ndarray, answer: np.ndarray, scale: int, vector: np.ndarray,
     windows = np.take_along_axis(text, first[:, None] + np.arange(scale), 1)
     found = weighted[windows].sum(1)
     cosines = found @ vector / np.maximum(1e-9, np.linalg.norm(found, axis=1))
-    return float(np.clip(cosines.min(), params.least_cosine, params.cosine))
+    return float(np.clip(np.quantile(cosines, 1 - params.recalled), params.least_cosine, params.cosine))
 
 
 def _items(rows: list, idf: np.ndarray, projection: np.ndarray, params: ContaminationParams) -> _Items:
@@ -321,8 +322,9 @@ def _overlaps(terms: np.ndarray, idf: np.ndarray, items: _Items, starts: np.ndar
     """Whether a window's words that the item has weigh enough for a paraphrase of what it can hold of the item."""
     at = starts[:, None] + np.arange(scale)
     inside = at < ends[:, None]
-    here = terms[np.minimum(at, len(terms) - 1)]
-    weight = (items.has[of[:, None], here] * inside * idf[here]).sum(1)
+    here = terms.take(at, mode="clip")
+    hit = np.flatnonzero(items.has.reshape(-1).take((of * items.has.shape[1])[:, None] + here) & inside)
+    weight = np.bincount(hit // scale, weights=idf.take(here.reshape(-1).take(hit)), minlength=len(of))
     share = np.minimum(1, scale / items.sizes[of])
     return weight >= 0.8 * params.paraphrased * share * items.weights[of]
 
