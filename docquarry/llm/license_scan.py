@@ -1,10 +1,11 @@
 """License texts and notices by diagonal voting.
 
-All of it is DataFrame operations. Every pair of neighbouring words of every text is hashed and
-joined with the pairs of the templates, a table of fixed size. A hit votes for the diagonal (place
+All of it is DataFrame operations. All rolling groups of three words of every text are hashed and
+joined with those of the templates, a table of fixed size; phrases, and notices of two words, are
+joined by pairs. A hit votes for the diagonal (place
 in the text minus place in the template) of its template. Votes are counted per diagonal,
 neighbouring diagonals are merged, as words put in or left out shift the place, and a merged span
-counts if the template places it hits cover enough of the template.
+counts if the template places it hits cover enough of the template; of a short one, all.
 """
 
 from __future__ import annotations
@@ -32,6 +33,67 @@ PHRASES = (
     Template("reserved", "all rights reserved", True),
 )
 
+# Well-known public license texts, whole, after their titles and copyright lines.
+TEXTS = (
+    Template(
+        "mit",
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software "
+        "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability "
+        "fitness for a particular purpose and noninfringement in no event shall the authors or copyright holders be liable for any claim damages or other "
+        "liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    Template(
+        "bsd",
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "1 redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "2 redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation "
+        "and or other materials provided with the distribution "
+        "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall the copyright holder or contributors "
+        "be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods "
+        "or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability "
+        "or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage",
+    ),
+    Template(
+        "bsd-3-clause",
+        "3 neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission",
+    ),
+    Template(
+        "isc",
+        "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright "
+        "notice and this permission notice appear in all copies "
+        "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability "
+        "and fitness in no event shall the author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from "
+        "loss of use data or profits whether in an action of contract negligence or other tortious action arising out of or in connection with the use or "
+        "performance of this software",
+    ),
+    Template(
+        "zlib",
+        "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of "
+        "this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it "
+        "freely subject to the following restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original "
+        "software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required "
+        "2 altered source versions must be plainly marked as such and must not be misrepresented as being the original software "
+        "3 this notice may not be removed or altered from any source distribution",
+    ),
+    Template(
+        "unlicense",
+        "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software "
+        "either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means",
+    ),
+    Template(
+        "apache-2.0",
+        "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the "
+        "license at http www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is "
+        "distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing "
+        "permissions and limitations under the license",
+    ),
+)
+
 # Well-known public notices.
 NOTICES = (
     Template("apache-2.0", "licensed under the apache license version 2 0"),
@@ -52,18 +114,25 @@ NOTICES = (
     Template("cc-by-nc", "licensed under cc by nc 4 0"),
     Template("cc-by", "this work is licensed under a creative commons attribution 4 0 international license"),
     Template("unlicense", "this is free and unencumbered software released into the public domain"),
+    *TEXTS,
 )
 
 #: Everything but letters, digits and non-ASCII characters parts words; A-Z are lower-cased later.
 _BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
+#: Words of a hashed group, of phrases and notices of two words, and of all other templates.
+_SHORT, _LONG = 2, 3
+
+
 @dataclass(frozen=True)
 class LicenseParams:
-    """``shift``: diagonals at most so far apart are merged. ``covered``: share of a template's pairs that is a find."""
+    """``shift``: diagonals at most so far apart are merged. ``covered``: share of a template's groups that is a
+    find; of a template with fewer than ``whole_under`` groups, all must be there."""
 
     shift: int = 3
-    covered: float = 0.7
+    covered: float = 0.6
+    whole_under: int = 8
 
 
 def _words(text: Column) -> Column:
@@ -71,17 +140,26 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), upper, lower), _BETWEEN), lambda w: w != "")
 
 
-def _pairs(words: Column) -> Column:
-    """Hashes of all pairs of neighbouring words, in order."""
-    after = F.slice(words, F.lit(2), F.size(words))
-    return F.slice(F.zip_with(words, after, lambda a, b: F.xxhash64(a, b)), F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
+def _grams(words: Column, k: int) -> Column:
+    """Hashes of all rolling groups of ``k`` words, 2 or 3, in order."""
+    second, third = (F.slice(words, F.lit(i), F.size(words)) for i in (2, 3))
+    if k == _SHORT:
+        hashed = F.zip_with(words, second, lambda a, b: F.xxhash64(a, b))
+    else:
+        pairs = F.zip_with(words, second, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        hashed = F.zip_with(pairs, third, lambda p, c: F.xxhash64(p["a"], p["b"], c))
+    return F.slice(hashed, F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(0)))
 
 
-def template_pairs(spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
-    """(pair, template, label, exact, place, n_pairs) of every pair of every template: as large as ``templates``."""
-    rows = [(i, t.label, t.exact, t.text) for i, t in enumerate(templates)]
-    table = spark.createDataFrame(rows, "template int, label string, exact boolean, text string").withColumn("pairs", _pairs(_words(F.col("text"))))
-    return table.select("template", "label", "exact", F.size("pairs").alias("n_pairs"), F.posexplode("pairs").alias("place", "pair"))
+def _group(template: Template) -> int:
+    return _SHORT if template.exact or len(template.text.split()) < _LONG else _LONG
+
+
+def template_grams(spark: SparkSession, templates: Sequence[Template], k: int) -> DataFrame:
+    """(gram, template, label, exact, place, n_grams) of every group of templates joined by ``k`` words: as large as ``templates``."""
+    rows = [(i, t.label, t.exact, t.text) for i, t in enumerate(templates) if _group(t) == k]
+    table = spark.createDataFrame(rows, "template int, label string, exact boolean, text string").withColumn("grams", _grams(_words(F.col("text")), k))
+    return table.select("template", "label", "exact", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("place", "gram"))
 
 
 def license_spans(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOTICES, params: LicenseParams = LicenseParams()) -> DataFrame:
@@ -98,29 +176,39 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), _words(text).alias("words"))
 
 
+def _votes(texts: DataFrame, templates: Sequence[Template], k: int) -> DataFrame:
+    known = F.broadcast(template_grams(texts.sparkSession, templates, k))
+    every = texts.select("doc_id", "text_key", F.size("words").alias("size"), F.posexplode(_grams(F.col("words"), k)).alias("at", "gram"))
+    columns = ["doc_id", "text_key", "size", "template", "label", "exact", "n_grams", F.lit(k).alias("k"), (F.col("at") - F.col("place")).alias("diagonal"), "at", "place"]
+    return every.join(known, "gram").select(*columns)
+
+
 def _spans(texts: DataFrame, templates: Sequence[Template], params: LicenseParams) -> DataFrame:
-    known = F.broadcast(template_pairs(texts.sparkSession, templates))
-    every = texts.select("doc_id", "text_key", F.posexplode(_pairs(F.col("words"))).alias("at", "pair"))
-    key = ["doc_id", "text_key", "template", "label", "exact", "n_pairs"]
-    votes = every.join(known, "pair").select(*key, (F.col("at") - F.col("place")).alias("diagonal"), "at", "place").distinct()
-    # A diagonal of an exact phrase counts if every pair of the phrase voted for it. A phrase of
-    # equal pairs could vote twice with one place; places are told apart.
+    key = ["doc_id", "text_key", "size", "template", "label", "exact", "n_grams", "k"]
+    votes = _votes(texts, templates, _SHORT).unionByName(_votes(texts, templates, _LONG)).distinct()
     lines = votes.groupBy(*key, "diagonal").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.collect_set("place").alias("places"))
-    exact = lines.where("exact AND size(places) = n_pairs").select(*key, "first", "last", F.lit(1.0).alias("covered"))
 
-    # Diagonals are grouped by their distance alone: one that a repeated pair of the template votes for lies
-    # apart from its neighbours in number, wherever in the text it stands, and so splits no span.
+    # Diagonals are grouped by their distance alone: one that a repeated group of the template votes for lies
+    # apart from its neighbours in number, wherever in the text it stands, and so splits no span. Those of
+    # an exact phrase stay by themselves.
     in_text = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
     beside = F.lag("diagonal").over(in_text)
-    apart = beside.isNull() | (F.col("diagonal") - beside > params.shift)
-    merged = lines.where("NOT exact").withColumn("span", F.sum(apart.cast("int")).over(in_text))
-    merged = merged.groupBy(*key, "span").agg(
-        F.min("first").alias("first"), F.max("last").alias("last"), (F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.first("n_pairs")).alias("covered")
+    apart = F.col("exact") | beside.isNull() | (F.col("diagonal") - beside > params.shift)
+    merged = lines.withColumn("span", F.sum(apart.cast("int")).over(in_text)).groupBy(*key, "span").agg(
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.min_by("diagonal", F.struct("first", "diagonal")).alias("from_first"),
+        F.max_by("diagonal", F.struct("last", "diagonal")).alias("from_last"),
+        (F.size(F.array_distinct(F.flatten(F.collect_list("places")))) / F.first("n_grams")).alias("covered"),
     )
+    enough = F.when(F.col("exact") | (F.col("n_grams") < params.whole_under), 1.0).otherwise(params.covered)
     # The words that were put in may not outnumber those of the template.
-    kept = merged.where((F.col("covered") >= params.covered) & (F.col("last") - F.col("first") < 2 * F.col("n_pairs")))
-    columns = ["doc_id", "text_key", "template", "label", "exact", F.col("first").alias("first_word"), (F.col("last") + 1).alias("last_word"), "covered"]
-    return exact.select(*columns).unionByName(kept.select(*columns))
+    kept = merged.where((F.col("covered") >= enough) & (F.col("last") - F.col("first") < 2 * F.col("n_grams")))
+    # An edit next to an end of the template hides the k - 1 words beyond it: they are taken in, as far as the template goes.
+    first = F.greatest(F.lit(0), F.least("first", F.greatest("from_first", F.col("first") - (F.col("k") - 1))))
+    end, whole = F.col("last") + F.col("k") - 1, F.col("from_last") + F.col("n_grams") + F.col("k") - 2
+    end = F.least(F.col("size") - 1, F.greatest(end, F.least(whole, end + F.col("k") - 1)))
+    return kept.select("doc_id", "text_key", "template", "label", "exact", first.alias("first_word"), end.alias("last_word"), "covered")
 
 
 def scan_licenses(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOTICES, params: LicenseParams = LicenseParams()) -> DataFrame:

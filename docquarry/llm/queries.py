@@ -198,11 +198,12 @@ WITH texts AS (
     FROM documents
 ),
 templates(template, label, exact, w) AS (VALUES {_TEMPLATES}),
-known AS (SELECT template, label, exact, len(w) - 1 AS n_pairs, i AS place, w[i + 1] AS a, w[i + 2] AS b FROM templates, unnest(range(0, len(w) - 1)) u(i)),
-every AS (SELECT doc_id, i AS pos, w[i + 1] AS a, w[i + 2] AS b FROM texts, unnest(range(0, len(w) - 1)) u(i)),
-votes AS (SELECT DISTINCT doc_id, template, label, exact, n_pairs, pos - place AS diagonal, pos, place FROM every JOIN known USING (a, b)),
+sized AS (SELECT *, CASE WHEN exact OR len(w) < 3 THEN 2 ELSE 3 END AS k FROM templates),
+known AS (SELECT template, label, exact, len(w) - k + 1 AS n_grams, i AS place, array_to_string(w[i + 1:i + k], ' ') AS gram FROM sized, unnest(range(0, len(w) - k + 1)) u(i)),
+every AS (SELECT doc_id, i AS pos, array_to_string(w[i + 1:i + k], ' ') AS gram FROM texts, (VALUES (2), (3)) sizes(k), unnest(range(0, len(w) - k + 1)) u(i)),
+votes AS (SELECT DISTINCT doc_id, template, label, exact, n_grams, pos - place AS diagonal, pos, place FROM every JOIN known USING (gram)),
 lines AS (
-    SELECT doc_id, template, label, exact, n_pairs, diagonal, min(pos) AS f, max(pos) AS l, list(DISTINCT place) AS places
+    SELECT doc_id, template, label, exact, n_grams, diagonal, min(pos) AS f, max(pos) AS l, list(DISTINCT place) AS places
     FROM votes GROUP BY ALL
 ),
 placed AS (
@@ -213,12 +214,12 @@ numbered AS (
     FROM placed
 ),
 merged AS (
-    SELECT doc_id, template, label, n_pairs, span, min(f) AS f, max(l) AS l, CAST(len(list_distinct(flatten(list(places)))) AS double) / n_pairs AS covered
-    FROM numbered GROUP BY doc_id, template, label, n_pairs, span
+    SELECT doc_id, template, label, n_grams, span, min(f) AS f, max(l) AS l, CAST(len(list_distinct(flatten(list(places)))) AS double) / n_grams AS covered
+    FROM numbered GROUP BY doc_id, template, label, n_grams, span
 ),
 finds AS (
-    SELECT doc_id, label, true AS exact, f, 1.0 AS covered FROM lines WHERE exact AND len(places) = n_pairs
-    UNION ALL SELECT doc_id, label, false, f, covered FROM merged WHERE covered >= 0.7 AND l - f < 2 * n_pairs
+    SELECT doc_id, label, true AS exact, f, 1.0 AS covered FROM lines WHERE exact AND len(places) = n_grams
+    UNION ALL SELECT doc_id, label, false, f, covered FROM merged WHERE covered >= CASE WHEN n_grams < 8 THEN 1.0 ELSE 0.6 END AND l - f < 2 * n_grams
 ),
 found AS (
     SELECT doc_id, count(*) FILTER (exact) AS n_base, min(f) FILTER (exact) AS first_word, max(f) FILTER (exact) AS last_word,

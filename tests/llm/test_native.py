@@ -1,10 +1,12 @@
 import hashlib
+import random
 import re
 
+import duckdb
 from pyspark.sql import functions as F
 
-from docquarry.llm.license_scan import NOTICES, Template, license_spans, scan_licenses
-from docquarry.llm.queries import QUERIES
+from docquarry.llm.license_scan import NOTICES, PHRASES as PHRASE_TEMPLATES, TEXTS, Template, license_spans, scan_licenses
+from docquarry.llm.queries import QUERIES, SQL
 from docquarry.llm.spot_signatures import spot_duplicates
 
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -130,3 +132,54 @@ def test_spot_duplicates_against_brute_force(spark):
     rows = [(1, text), (2, text), (3, text.replace("w7", "other")), (4, text + " the tail end"), (5, "the cat sat"), (6, " ".join(f"the x{i} y{i}" for i in range(40))), (None, text)]
     found = {(r.a, r.b): round(r.likeness, 6) for r in spot_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 0.8).collect()}
     assert found == {(1, 2): 1.0, (1, 3): round(39 / 41, 6), (1, 4): round(40 / 41, 6), (3, 4): round(39 / 42, 6)}
+
+
+def test_whole_license_texts_with_edits(spark):
+    """Every twelfth word replaced, between other words, twice: each text is found at both places, to within an edit of its ends."""
+    rows, wanted = [], {}
+    for t in TEXTS:
+        words = [w if i % 12 != 6 else f"new{i}" for i, w in enumerate(t.text.split())]
+        noise = [f"n{i}" for i in range(300)]
+        wanted[len(rows)] = t.label, len(words)
+        rows.append((len(rows), " ".join([*noise, *words, *noise, *words, *noise])))
+    found = license_spans(spark.createDataFrame(rows, "doc_id long, text string"), TEXTS).collect()
+    for i, (label, n) in wanted.items():
+        spans = sorted((r.first_word, r.last_word) for r in found if r.doc_id == i and r.label == label)
+        assert len(spans) == 2, (label, spans)
+        for (first, last), at in zip(spans, (300, 600 + n)):
+            assert at <= first <= at + 8 and at + n - 9 <= last <= at + n - 1, (label, first, last)
+
+
+def test_a_short_notice_counts_whole_only(spark):
+    texts = {
+        "GNU General Public License version 2.0": "gpl",
+        "the mozilla license, version 2.0": "",
+        "released under the MIT press": "",
+        "Released under the MIT license": "mit",
+        "apache license (the) version 2.0": "",
+    }
+    rows = scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {list(texts)[r.doc_id]: r.labels for r in rows} == texts
+
+
+def test_license_query_against_sql_on_edited_notices(spark, tmp_path):
+    """Notices with words put in, left out and replaced, two to a text, so that every branch of the rule is taken."""
+    rng = random.Random(17)
+    rows = []
+    for i in range(150):
+        words = []
+        for t in rng.sample(NOTICES + PHRASE_TEMPLATES, 2):
+            share = rng.choice((0.0, 0.03, 0.08, 0.15))
+            for w in t.text.split():
+                edit = rng.random() / share if share else 1
+                words += [] if edit < 0.33 else [w, "extra"] if edit < 0.66 else ["other"] if edit < 1 else [w]
+            words += rng.choices(["the", "of", "license", "software", "x"], k=rng.randrange(6))
+        rows.append((i, " ".join(words)))
+    folder = folder_of(spark, tmp_path / "t", rows)
+    got = QUERIES["op5_license_scan"](spark, folder)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
+    want = con.execute(f"SELECT {', '.join(got.columns)} FROM ({SQL['op5_license_scan']})").fetchall()
+    rounded = lambda rows: sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in rows), key=lambda r: r[0])
+    assert [r for r, w in zip(rounded(map(tuple, got.sort("doc_id").collect())), rounded(want)) if str(r) != str(w)] == [] and len(want) == 150
+    assert got.where("labels = ''").count() < 75 < got.where("score < 1 OR labels LIKE '%,%'").count()
