@@ -140,26 +140,29 @@ def _words(text: Column) -> Column:
     return F.filter(F.split(F.translate(F.coalesce(text, F.lit("")), upper, lower), _BETWEEN), lambda w: w != "")
 
 
-def _grams(words: Column, k: int) -> Column:
-    """Hashes of all rolling groups of ``k`` words, 2 or 3, in order."""
-    second, third = (F.slice(words, F.lit(i), F.size(words)) for i in (2, 3))
-    if k == _SHORT:
-        hashed = F.zip_with(words, second, lambda a, b: F.xxhash64(a, b))
-    else:
-        pairs = F.zip_with(words, second, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        hashed = F.zip_with(pairs, third, lambda p, c: F.xxhash64(p["a"], p["b"], c))
-    return F.slice(hashed, F.lit(1), F.greatest(F.size(words) - (k - 1), F.lit(0)))
+def _rolling(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``words`` and ``size``) as one row per place ``at`` and ``gram``, the hash of the two words, and of the three, from there.
+
+    The words are exploded beside their array, so that hashing and the join stay in generated code.
+    Groups cut short by the end of the text hash like shorter ones; the join tells them apart by the template's ``k``.
+    """
+    words = rows.select("*", F.posexplode("words").alias("at", "word"))
+    second, third = (F.get("words", F.col("at") + i) for i in (1, 2))
+    grams = F.array(F.xxhash64("word", second), F.xxhash64("word", second, third))
+    return words.select(*[c for c in rows.columns if c != "words"], "at", F.explode(grams).alias("gram"))
 
 
 def _group(template: Template) -> int:
     return _SHORT if template.exact or len(template.text.split()) < _LONG else _LONG
 
 
-def template_grams(spark: SparkSession, templates: Sequence[Template], k: int) -> DataFrame:
-    """(gram, template, label, exact, place, n_grams) of every group of templates joined by ``k`` words: as large as ``templates``."""
-    rows = [(i, t.label, t.exact, t.text) for i, t in enumerate(templates) if _group(t) == k]
-    table = spark.createDataFrame(rows, "template int, label string, exact boolean, text string").withColumn("grams", _grams(_words(F.col("text")), k))
-    return table.select("template", "label", "exact", F.size("grams").alias("n_grams"), F.posexplode("grams").alias("place", "gram"))
+def template_grams(spark: SparkSession, templates: Sequence[Template]) -> DataFrame:
+    """(gram, template, label, exact, k, place, n_grams) of every group of ``k`` words of every template: as large as ``templates``."""
+    rows = [(i, t.label, t.exact, k, " ".join(words[at : at + k]), at, len(words) - k + 1) for i, t in enumerate(templates) for k, words in [(_group(t), t.text.split())] for at in range(len(words) - k + 1)]
+    table = spark.createDataFrame(rows, "template int, label string, exact boolean, k int, words string, place int, n_grams int").withColumn("words", _words(F.col("words")))
+    pair = F.xxhash64(F.get("words", F.lit(0)), F.get("words", F.lit(1)))
+    triple = F.xxhash64(F.get("words", F.lit(0)), F.get("words", F.lit(1)), F.get("words", F.lit(2)))
+    return table.withColumn("gram", F.when(F.col("k") == _SHORT, pair).otherwise(triple)).drop("words")
 
 
 def license_spans(docs: DataFrame, templates: Sequence[Template] = PHRASES + NOTICES, params: LicenseParams = LicenseParams()) -> DataFrame:
@@ -176,16 +179,15 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_key"), _words(text).alias("words"))
 
 
-def _votes(texts: DataFrame, templates: Sequence[Template], k: int) -> DataFrame:
-    known = F.broadcast(template_grams(texts.sparkSession, templates, k))
-    every = texts.select("doc_id", "text_key", F.size("words").alias("size"), F.posexplode(_grams(F.col("words"), k)).alias("at", "gram"))
-    columns = ["doc_id", "text_key", "size", "template", "label", "exact", "n_grams", F.lit(k).alias("k"), (F.col("at") - F.col("place")).alias("diagonal"), "at", "place"]
-    return every.join(known, "gram").select(*columns)
+def _votes(texts: DataFrame, templates: Sequence[Template]) -> DataFrame:
+    known = F.broadcast(template_grams(texts.sparkSession, templates))
+    hits = _rolling(texts.withColumn("size", F.size("words"))).join(known, "gram").where(F.col("at") + F.col("k") <= F.col("size"))
+    return hits.select("doc_id", "text_key", "size", "template", "label", "exact", "n_grams", "k", (F.col("at") - F.col("place")).alias("diagonal"), "at", "place")
 
 
 def _spans(texts: DataFrame, templates: Sequence[Template], params: LicenseParams) -> DataFrame:
     key = ["doc_id", "text_key", "size", "template", "label", "exact", "n_grams", "k"]
-    votes = _votes(texts, templates, _SHORT).unionByName(_votes(texts, templates, _LONG)).distinct()
+    votes = _votes(texts, templates).distinct()
     lines = votes.groupBy(*key, "diagonal").agg(F.min("at").alias("first"), F.max("at").alias("last"), F.collect_set("place").alias("places"))
 
     # Diagonals are grouped by their distance alone: one that a repeated group of the template votes for lies
