@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from docquarry.operators import graph
 from docquarry.schemas import QUAD_SCHEMA
+from docquarry.settings import NARROW_PARTITION
 from docquarry.sources.quads import attach_quads_by_subject, heaviest_bucket, read_quads, write_quads, write_quads_by_subject
 from docquarry.sources.tables import stored
 from queries.graph_queries import _ASSEMBLED_SQL
@@ -208,3 +209,29 @@ def test_a_subject_with_a_third_of_all_quads_gets_no_buckets(spark, tmp_path):
     with pytest.raises(ValueError, match="by predicate"):
         write_quads_by_subject(quads, "hot_quads", str(tmp_path / "hot"), 16)
     assert heaviest_bucket(quads.limit(0), 16) == 0
+
+
+@pytest.mark.parametrize(("setting", "kept"), [("64MB", False), (str(1 << 30), False), ("8m", True), ("4096k", True)])
+def test_quads_are_dealt_in_partitions_that_sort_in_memory(spark, tmp_path, setting, kept):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, setting)
+        write_quads(spark.createDataFrame(random_quads(1), QUAD_SCHEMA), str(tmp_path / "quads"))
+        assert spark.conf.get(key) == (setting if kept else str(NARROW_PARTITION))
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_a_large_predicate_is_sorted_in_small_parts(spark, tmp_path):
+    """Also where one task of the source holds all of it."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "64MB")
+        rows = spark.range(0, 1_000_000, 1, 1).select(F.lit("g").alias("g"), F.sha2(F.col("id").cast("string"), 256).alias("s"), F.lit("p").alias("p"), F.lit("o").alias("o"), F.lit(None).cast("string").alias("o_lang"))
+        write_quads(rows, str(tmp_path / "quads"))
+        assert len(list((tmp_path / "quads" / "p=p").glob("*.parquet"))) >= 3
+        assert read_quads(spark, str(tmp_path / "quads")).count() == 1_000_000
+    finally:
+        spark.conf.set(key, before)
