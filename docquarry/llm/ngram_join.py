@@ -38,6 +38,8 @@ FREQUENT = 16
 COMBINED = 400
 TOGETHER = 64
 SKETCH_WORDS = 8
+#: Bytes of text hashed at once: the running sums of a slice take many times its bytes.
+HASHED = 1 << 19
 #: Sets and tokens of a block in which the links of a component are counted.
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 19
 
@@ -100,7 +102,7 @@ def shingle_prefixes(docs: DataFrame, size: int, num: int, den: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_slices(batch.column("text")):
+            for lo, hi in text_slices(batch.column("text"), HASHED):
                 part = batch.slice(lo, hi - lo)
                 rows: dict[str, list] = {name: [] for name in schema.names}
                 for doc_id, tokens in zip(part.column("doc_id").to_pylist(), shingle_sets(part.column("text"), size)):
@@ -128,7 +130,7 @@ def whole_sets(docs: DataFrame, ids: DataFrame, size: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(in_bitmap(marks.value, batch.column("h").to_numpy())))
-            for lo, hi in text_slices(batch.column("text")):
+            for lo, hi in text_slices(batch.column("text"), HASHED):
                 part = batch.slice(lo, hi - lo)
                 sets = [tokens.tobytes() for tokens in shingle_sets(part.column("text"), size)]
                 yield pa.record_batch([part.column("doc_id"), pa.array(sets, pa.binary())], schema=schema)

@@ -65,3 +65,15 @@ def test_families_against_brute_force(spark, monkeypatch, size, num, den, freque
 def test_a_similarity_of_a_half_is_refused(spark):
     with pytest.raises(ValueError):
         ngram_join(spark.createDataFrame([], "doc_id long, text string"), 3, 1, 2)
+
+
+def test_texts_are_hashed_in_small_slices_with_the_same_sets():
+    import pyarrow as pa
+
+    from docquarry.llm.ngram_join import HASHED
+    from docquarry.llm.words import shingle_sets, text_slices
+
+    texts = pa.array([" ".join(f"w{i}x{j}" for j in range(2000)) for i in range(100)])
+    slices = list(text_slices(texts, HASHED))
+    assert max(sum(len(t) for t in texts[lo:hi].to_pylist()) for lo, hi in slices) <= 2 * HASHED <= 1 << 20
+    assert [s.tolist() for lo, hi in slices for s in shingle_sets(texts[lo:hi], 3)] == [s.tolist() for s in shingle_sets(texts, 3)]
