@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from docquarry.operators.ranking import keep_first
 from docquarry.schemas import MANIFEST_SCHEMA, PROBLEM_SCHEMA, RANGE_MANIFEST_SCHEMA, conform
-from docquarry.sources.tables import read_or_empty
+from docquarry.settings import shared_dir
+from docquarry.sources.tables import read_or_empty, stored
 
 RUN = "_run"
 ALL_LANGUAGES = "all"
@@ -304,10 +305,12 @@ def read_ranges(spark: SparkSession, corpus: Corpus, date: str = "date") -> Data
     rows = read_or_empty(spark, corpus.ranges, T.StructType([*[schema[n] for n in names], *[T.StructField(n, T.StringType()) for n in keys]]))
     later = entries.select(F.col("window_start").alias("from"), F.col("window_end").alias("to"), F.col("scope").alias("of"), F.col("seq").alias("later"))
     overlaps = (F.col("of") == F.col("scope")) & (F.col("later") > F.col("seq")) & (F.col("from") <= F.col("window_end")) & (F.col("to") >= F.col("window_start"))
-    # A row per entry; windows are as many as the calendar and the runs make them.
+    # A row per entry; windows are as many as the calendar and the runs make them. A written table, so that Spark sees how
+    # small it is: by the estimate of the overlap join, all documents would be shuffled by window, each window into one task.
     known = entries.join(later, overlaps, "left").groupBy("window_start", "window_end", "scope", F.col("attempt").alias(RUN)).agg(
         F.collect_list(F.when(F.col("from").isNotNull(), F.struct("from", "to"))).alias("_later")
     )
+    known = stored(known, shared_dir(spark, "known-ranges"))
     day = F.col("window_start")
     if date in names:
         day = F.when(F.col(date).between(F.col("window_start"), F.col("window_end")), F.col(date)).otherwise(day)

@@ -298,3 +298,17 @@ def test_parameters():
     assert MineParams(today=TODAY, lang="fra").lang_filter == "FRA"
     with pytest.raises(ValueError):
         MineParams(today=TODAY, keywords=["a b", "a-b"])
+
+
+def test_ranges_are_read_without_a_shuffle_of_their_documents(spark, plan_of, tmp_path):
+    """A window's documents are not brought into one task to be compared with the few entries."""
+    corpus = Corpus(str(tmp_path))
+    rows = [(f"u{i}", "2024-01-03", "x" * 50, "2024-01-01", "2024-01-07") for i in range(200)]
+    docs = spark.createDataFrame(rows, "url string, date string, text string, window_start string, window_end string")
+    windows = spark.createDataFrame([(f"2024-{m:02}-01", f"2024-{m:02}-07") for m in range(1, 13)], "start string, end string")
+    for run in ("run-1", "run-2"):
+        write_ranges(docs, corpus, run, windows)
+    read = read_ranges(spark, corpus)
+    plan = plan_of(read)
+    assert "Exchange hashpartitioning" not in plan and "hashpartitioning(" not in plan
+    assert read.count() == 200
