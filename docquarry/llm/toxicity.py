@@ -54,10 +54,29 @@ class ToxicityModel:
     slope: float
     offset: float
 
+    def __reduce__(self):
+        # Few of the weights differ from zero; only these are sent to the workers.
+        some = np.flatnonzero(self.weights)
+        return _dense, (len(self.weights), some.astype(np.int32), self.weights[some], self.bias, self.slope, self.offset)
+
     def scores(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -500, 500)))
 
 
+def _dense(size: int, some: np.ndarray, values: np.ndarray, bias: float, slope: float, offset: float) -> ToxicityModel:
+    weights = np.zeros(size, values.dtype)
+    weights[some] = values
+    return ToxicityModel(weights, bias, slope, offset)
+
+
+def _counts(rows: list[np.ndarray]) -> np.ndarray:
+    """In how many rows each feature stands, row by row: no copy of all rows is made."""
+    total = np.zeros(1 << FEATURE_BITS, np.int32)
+    for row in rows:
+        total[row] += 1  # features are distinct within a row
+    return total
+
+
 def features(column: pa.Array, useful: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, feature) of every distinct hashed word and stem of each row, of the ``useful`` ones only if given."""
     raw, borders = text_bytes(column)
@@ -144,22 +163,22 @@ def _fit(sample: list, contrast: float, prior: float, stands_for: list[float], p
     unlabelled = [blobs[i] for i, r in enumerate(sample) if r.free]
     if not positive or not unlabelled:
         return ToxicityModel(np.zeros(size, np.float32), 0.0, 1.0, float(np.log(prior / (1 - prior)) if positive else -7.0))
-    in_p, in_u = (np.bincount(np.concatenate(rows), minlength=size) for rows in (positive, unlabelled))
     # Words that stand as often in toxic as in any text only add noise to long documents.
+    in_p = _counts(positive)
     some = np.flatnonzero(in_p >= 2)
-    in_p, in_u = in_p[some], in_u[some]
+    in_p, in_u = in_p[some], _counts(unlabelled)[some]
     pooled = (in_p + in_u) / (len(positive) + len(unlabelled))
     error = np.sqrt(pooled * (1 - pooled) * (1 / len(positive) + 1 / len(unlabelled))) + 1e-12
     share_p, share_u = in_p / len(positive), in_u / len(unlabelled)
     lifted = (share_p >= params.lift * share_u) | (share_u >= params.lift * share_p)
     kept = np.zeros(size, bool)
     kept[some[lifted & (np.abs(share_p - share_u) >= contrast * error)]] = True
-    column = np.cumsum(kept, dtype=np.int32) - 1
-    width = int(kept.sum())
+    chosen = np.flatnonzero(kept)
+    width = len(chosen)
 
     def matrix(rows: list) -> tuple[np.ndarray, np.ndarray, int]:
-        flat, row = np.concatenate(rows), np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        return row[kept[flat]], column[flat[kept[flat]]], len(rows)
+        found = [r[kept[r]] for r in rows]
+        return np.repeat(np.arange(len(rows)), [len(r) for r in found]), np.searchsorted(chosen, np.concatenate(found)), len(rows)
 
     def margins(m: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
         return np.bincount(m[0], weights=w[m[1]], minlength=m[2]) + b

@@ -1,6 +1,9 @@
+import pickle
 import random
+import tracemalloc
 
 import numpy as np
+from pyspark.sql import Row
 
 from docquarry.llm.toxicity import ToxicityParams, _calibrate, _sample, fit
 
@@ -39,3 +42,18 @@ def test_calibration_counts_rows_for_what_they_stand_for():
     every = _calibrate(margin, toxic, [1.0, 1.0])
     some = np.concatenate([np.arange(0, 9000, 9), np.arange(9000, 10000)])
     assert np.allclose(_calibrate(margin[some], toxic[some], [9.0, 1.0]), every, atol=0.15)
+
+
+def test_the_fit_holds_no_copies_of_the_sample_and_sends_few_weights():
+    rng = np.random.default_rng(7)
+    rows = [np.unique(rng.integers(0, 1 << 22, 1500)).astype(np.int32) for _ in range(3000)]
+    rows = [np.union1d(r, [5]).astype(np.int32) if i < 400 else r for i, r in enumerate(rows)]
+    sample = [Row(doc_id=i, toxic=int(i < 400) if i < 800 else None, free=i >= 800, features=r.tobytes()) for i, r in enumerate(rows)]
+    tracemalloc.start()
+    model = fit(sample, (900, 100), ToxicityParams())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert model.weights[5] > 0 and peak < 70e6, peak
+    sent = pickle.dumps(model)
+    again = pickle.loads(sent)
+    assert len(sent) < 1e6 and again.bias == model.bias and np.array_equal(again.weights, model.weights)
