@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from docquarry.operators import graph
 from docquarry.operators.gaps import run_summary
+from docquarry.plans import mine as plans
 from docquarry.plans.backfill import BackfillParams, run_backfill
 from docquarry.plans.mine import MineParams, mine, run_lookback
 from docquarry.schemas import DOCUMENT_SCHEMA, PAYLOAD_SCHEMA, QUAD_SCHEMA
-from docquarry.sinks.daily import Corpus, current_manifest, planned_days, read_days, read_manifest, read_ranges, scope_of, sql_over_days, superseded, write_days, write_ranges
+from docquarry.sinks.daily import Corpus, current_manifest, planned_days, range_entries, read_days, read_manifest, read_ranges, scope_of, sql_over_days, superseded, write_days, write_ranges
 from docquarry.sinks.publish import publish_changes, published_partitions
 from docquarry.sources.bindings import read_bindings
 from docquarry.sources.files import read_documents, row_counts, scan_inventory, scan_partitions
@@ -281,6 +282,35 @@ def test_ranges_are_written_by_window(spark, tmp_path):
     assert rows == {("2024-01-03", "2024-01-06", "w11", "C3"), ("2024-01-03", "2024-01-06", "w5", "C1"), ("2024-01-01", "2024-01-02", "w1", "C1")}
 
 
+def test_groups_of_windows_are_discovered_in_one_pass(spark, tmp_path, monkeypatch):
+    quads, taxonomy, payloads = _corpus_inputs(spark, tmp_path)
+    spans, gather = [], plans.metadata_by_window
+
+    def counted(quads, today, total_days, *rest):
+        spans.append(total_days)
+        return gather(quads, today, total_days, *rest)
+
+    def only_narrow(quads, today, total_days, *rest):
+        if total_days > 4:
+            raise RuntimeError("too wide")
+        return counted(quads, today, total_days, *rest)
+
+    def ranges(name, **changes):
+        corpus = Corpus(str(tmp_path / name))
+        # The oldest of the three windows is short.
+        run_lookback(quads, taxonomy, payloads, MineParams(today=TODAY, days=10, window_days=4, unique_on="celex", **changes), corpus, "r")
+        entries = {(r.window_start, r.window_end, r.status, r.n_rows) for r in range_entries(spark, corpus).collect()}
+        return entries, {(r.window_start, r.window_end, r.url, r.text) for r in read_ranges(spark, corpus).collect()}
+
+    whole = ranges("whole")
+    assert len(whole[0]) == 3 and len(whole[1]) > 4
+    monkeypatch.setattr(plans, "metadata_by_window", counted)
+    assert ranges("grouped", group_windows=1) == whole and spans == [10]
+    # What fails for all windows together is tried for each group by itself.
+    monkeypatch.setattr(plans, "metadata_by_window", only_narrow)
+    assert ranges("alone", group_windows=1) == whole and spans == [10, 4, 4, 2]
+
+
 def test_merging_twice_changes_nothing_and_newer_rows_win(spark, tmp_path):
     corpus = Corpus(str(tmp_path))
     merge_days(_docs(spark, ("u1", "d", "eng", "old", "2024-01-01"), ("u2", "d", "eng", "kept", "2024-01-01")), corpus, "1")
