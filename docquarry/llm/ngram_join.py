@@ -32,14 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import Scratch, bitmap, bounded_batches, components, in_bitmap
-from docquarry.llm.words import mix, shingle_sets, text_slices
+from docquarry.llm.words import HASHED, mix, shingle_sets, text_slices
 
 FREQUENT = 16
 COMBINED = 400
 TOGETHER = 64
 SKETCH_WORDS = 8
-#: Bytes of text hashed at once: the running sums of a slice take many times its bytes.
-HASHED = 1 << 19
 #: Sets and tokens of a block in which the links of a component are counted.
 BLOCK_SETS, BLOCK_TOKENS = 512, 1 << 19
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from docquarry.llm.common import Scratch, bounded_batches
 from docquarry.llm.encode import encoder
-from docquarry.llm.words import text_slices
+from docquarry.llm.words import HASHED, text_slices
 
 #: Workers whose left-over pieces are packed together.
 WORKERS_PER_BUCKET = 64
@@ -64,7 +64,7 @@ def _pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> Data
         open_bins: dict[int, list[tuple]] = defaultdict(list)
         n_pieces = n_sequences = 0
         for batch in batches:
-            for lo, hi in text_slices(batch.column("text")):
+            for lo, hi in text_slices(batch.column("text"), HASHED):
                 part = batch.slice(lo, hi - lo)
                 ids, borders = encode(part.column("text"))
                 done = []

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docquarry.llm.common import Scratch, bounded_batches, fold
-from docquarry.llm.words import LOWER, WORDLIKE, mix, span_hashes, spans, text_bytes, text_slices
+from docquarry.llm.words import HASHED, LOWER, WORDLIKE, mix, span_hashes, spans, text_bytes, text_slices
 
 FEATURE_BITS = 22
 #: Lengths in bytes of the beginnings of words that count beside the words: stems of inflected words.
@@ -115,7 +115,7 @@ def _sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> tuple
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo, hi in text_slices(batch.column("text")):
+            for lo, hi in text_slices(batch.column("text"), HASHED):
                 part = batch.slice(lo, hi - lo)
                 row, feature = features(part.column("text"))
                 borders = np.searchsorted(row, np.arange(len(part) + 1))
@@ -262,7 +262,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, params: ToxicityParams = Toxici
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         useful = model.value.weights != 0
         for batch in batches:
-            for lo, hi in text_slices(batch.column("text")):
+            for lo, hi in text_slices(batch.column("text"), HASHED):
                 part = batch.slice(lo, hi - lo)
                 row, feature = features(part.column("text"), useful)
                 margin = np.bincount(row, weights=model.value.weights[feature], minlength=len(part)) + model.value.bias

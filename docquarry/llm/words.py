@@ -12,6 +12,8 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 2 << 20
+#: Bytes of text hashed at once where memory counts: the running sums of a slice take many times its bytes.
+HASHED = 1 << 19
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -39,7 +41,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power(which: str, n: int) -> np.ndarray:
     have = _powers.get(which)
     if have is None or len(have) < n:
-        steps = np.full(max(n, SLICE_BYTES + 1), _BASE if which == "up" else _INVERSE, np.uint64)
+        steps = np.full(max(n, HASHED + 1), _BASE if which == "up" else _INVERSE, np.uint64)
         steps[0] = 1
         have = _powers[which] = np.cumprod(steps, dtype=np.uint64)
     return have[:n]
