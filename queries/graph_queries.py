@@ -23,8 +23,13 @@ def _quads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landed_quads(spark, sf_dir)
 
 
+def _names(spark: SparkSession, quads: DataFrame) -> graph.Names:
+    return graph.stored_names(quads, shared_dir(spark, "names"))
+
+
 def assemble_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return graph.as_bindings(graph.assemble_metadata(_quads(spark, sf_dir), START, END))
+    quads = _quads(spark, sf_dir)
+    return graph.as_bindings(graph.assemble_metadata(quads, START, END, names=_names(spark, quads)))
 
 
 def lang_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,7 +38,8 @@ def lang_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def assemble_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Over quads in subject buckets, where a work's properties meet without a shuffle."""
-    return graph.as_bindings(graph.assemble_metadata(landed_subjects(spark, sf_dir), START, END))
+    quads = landed_subjects(spark, sf_dir)
+    return graph.as_bindings(graph.assemble_metadata(quads, START, END, names=_names(spark, quads)))
 
 
 def lang_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,7 +49,8 @@ def lang_by_subject(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = graph.metadata_by_window(_quads(spark, sf_dir), TODAY, TOTAL_DAYS, STEP)
+    quads = _quads(spark, sf_dir)
+    rows = graph.metadata_by_window(quads, TODAY, TOTAL_DAYS, STEP, names=_names(spark, quads))
     return rows.select(
         F.get("cellar_uris", F.lit(0)).alias("work"), "date", "lang_id", "window_no", "window_start", "window_end"
     )

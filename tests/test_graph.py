@@ -1,5 +1,6 @@
 """Assembly against the full join of all properties, on messy random quads."""
 
+import datetime
 import random
 
 import duckdb
@@ -235,3 +236,26 @@ def test_a_large_predicate_is_sorted_in_small_parts(spark, tmp_path):
         assert read_quads(spark, str(tmp_path / "quads")).count() == 1_000_000
     finally:
         spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_every_quad_is_shuffled_once_at_most_to_be_gathered(spark, plan_of, tmp_path, broadcast):
+    """With works too many to be broadcast, and with labels and names as written tables; the rows are the same."""
+    rows = random_quads(11, 25)
+    write_quads(spark.createDataFrame(rows, QUAD_SCHEMA), str(tmp_path / "quads"))
+    quads = read_quads(spark, str(tmp_path / "quads"))
+    names = graph.stored_names(quads, str(tmp_path / "names"))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        # Names have some kB and are broadcast; the works are estimated by the size of all quads.
+        spark.conf.set(threshold, str(sum(f.stat().st_size for f in (tmp_path / "names").rglob("*.parquet")) if broadcast else -1))
+        made = graph.as_bindings(graph.assemble_metadata(quads, "2024-01-01", "2024-01-03", names=names))
+        shuffles = [line for line in plan_of(made).splitlines() if "hashpartitioning(" in line]
+        assert difference(spark_rows(made), expected(rows)) == ""
+        by_window = graph.metadata_by_window(quads, datetime.date(2024, 1, 2), 3, names=names).drop("window_start", "window_end")
+        plain = graph.metadata_by_window(spark.createDataFrame(rows, QUAD_SCHEMA), datetime.date(2024, 1, 2), 3).drop("window_start", "window_end")
+        assert difference(spark_rows(by_window), spark_rows(plain)) == ""
+    finally:
+        spark.conf.set(threshold, before)
+    assert len(shuffles) <= (13 if broadcast else 19), shuffles
