@@ -259,3 +259,16 @@ def test_every_quad_is_shuffled_once_at_most_to_be_gathered(spark, plan_of, tmp_
     finally:
         spark.conf.set(threshold, before)
     assert len(shuffles) <= (13 if broadcast else 19), shuffles
+
+
+@pytest.mark.parametrize(("setting", "kept"), [("128MB", False), ("8m", True)])
+def test_quads_are_scanned_in_splits_whose_sets_fit_in_memory(spark, tmp_path, setting, kept):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    try:
+        write_quads(spark.createDataFrame(random_quads(1), QUAD_SCHEMA), str(tmp_path / "quads"))
+        spark.conf.set(key, setting)
+        read_quads(spark, str(tmp_path / "quads"))
+        assert spark.conf.get(key) == (setting if kept else str(NARROW_PARTITION))
+    finally:
+        spark.conf.set(key, before)
