@@ -272,3 +272,20 @@ def test_quads_are_scanned_in_splits_whose_sets_fit_in_memory(spark, tmp_path, s
         assert spark.conf.get(key) == (setting if kept else str(NARROW_PARTITION))
     finally:
         spark.conf.set(key, before)
+
+
+def test_buckets_of_subjects_are_doubled_until_a_task_can_gather_one(spark, tmp_path):
+    rows = random_quads(12, 60)
+    quads = spark.createDataFrame(rows, QUAD_SCHEMA)
+    few = write_quads_by_subject(quads, "few_buckets", str(tmp_path / "few"), 2)
+    many = write_quads_by_subject(quads, "many_buckets", str(tmp_path / "many"), 2, rows=len(rows) // 7)
+    try:
+        assert (few, many) == (2, 8)
+        got = [spark_rows(graph.as_bindings(graph.assemble_metadata(spark.table(t), "2024-01-01", "2024-01-03"))) for t in ("few_buckets", "many_buckets")]
+        assert difference(got[0], expected(rows)) == "" == difference(got[1], got[0])
+        # One subject has half of the quads: two buckets are uneven by at most two, four by more.
+        hot = quads.unionByName(spark.range(len(rows)).select(F.lit("g1").alias("g"), F.lit("w1").alias("s"), F.lit(V.subject).alias("p"), F.col("id").cast("string").alias("o"), F.lit(None).cast("string").alias("o_lang")))
+        assert write_quads_by_subject(hot, "hot_buckets", str(tmp_path / "hot"), 2, most=2.0, rows=10) == 2
+    finally:
+        for t in ("few_buckets", "many_buckets", "hot_buckets"):
+            spark.sql(f"DROP TABLE IF EXISTS {t}")
